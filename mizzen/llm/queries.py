@@ -5,7 +5,12 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = {
+    "op2_decontamination": "op2_decontaminate",
+    "op5_line_dedup": "op5_lines",
     "op7_quality_rules": "op7_quality",
+    "op8_license_scan": "op8_license",
+    "op9_substring_dedup": "op9_substring",
+    "op10_minhash_near_dedup": "op10_near",
 }
 
 
