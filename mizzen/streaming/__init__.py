@@ -1,0 +1 @@
+"""Room for streaming operators; the statements that this library answers have none."""
