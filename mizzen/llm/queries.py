@@ -5,8 +5,12 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = {
+    "op1_chat_formatting": "op1_chat",
     "op2_decontamination": "op2_decontaminate",
+    "op3_quality_classifier": "op3_perplexity",
+    "op4_token_counts": "op4_tokens",
     "op5_line_dedup": "op5_lines",
+    "op6_source_mixing": "op6_mixing",
     "op7_quality_rules": "op7_quality",
     "op8_license_scan": "op8_license",
     "op9_substring_dedup": "op9_substring",
