@@ -92,13 +92,16 @@ def _suffix(g: Column, order: int) -> Column:
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
-    """Rows (lang, d1, d2, d3) from the counts of counts; halves of 1, 2, 3 where one of those is 0."""
+    """Rows (lang, d1, d2, d3) from the counts of counts.
+
+    Where the estimate of one of them isn't above 0 and below its count, all are half their count.
+    """
     of = [F.sum(F.when(F.col("c") == k, 1).otherwise(0)).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)]
-    n = counts.groupBy("lang").agg(*of)
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & (F.col("n4") > 0)
-    d = lambda k: F.when(usable, F.greatest(F.lit(0.0), F.least(F.lit(float(k)), k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")))).otherwise(F.lit(k / 2)).alias(f"d{k}")
-    return n.select("lang", d(1), d(2), d(3))
+    n = counts.groupBy("lang").agg(*of).withColumn("y", F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2")))
+    for k in (1, 2, 3):
+        n = n.withColumn(f"d{k}", k - (k + 1) * F.col("y") * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}")))
+    usable = F.coalesce((F.col("d1") > 0) & (F.col("d1") < 1) & (F.col("d2") > 0) & (F.col("d2") < 2) & (F.col("d3") > 0) & (F.col("d3") < 3), F.lit(False))
+    return n.select("lang", *[F.when(usable, F.col(f"d{k}")).otherwise(F.lit(k / 2)).alias(f"d{k}") for k in (1, 2, 3)])
 
 
 def train(counts: DataFrame) -> DataFrame:
@@ -113,7 +116,7 @@ def train(counts: DataFrame) -> DataFrame:
     lower = by_order[1].groupBy("lang").agg((1 / (F.count(F.lit(1)) + 1)).alias("p")).select("lang", F.lit(0).cast("bigint").alias("g"), "p")
     probs, backs = [lower.select("lang", F.lit(0).alias("n"), "g", "p")], []
     for n in range(1, ORDER + 1):
-        rows = by_order[n].join(F.broadcast(_discounts(by_order[n])) if n == 1 else _discounts(by_order[n]), "lang")
+        rows = by_order[n].join(_discounts(by_order[n]), "lang")
         rows = rows.withColumn("d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
         rows = rows.withColumn("h", _context(F.col("g"))).withColumn("s", _suffix(F.col("g"), n - 1) if n > 1 else F.lit(0).cast("bigint"))
         context = rows.groupBy("lang", "h").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("b"))

@@ -53,10 +53,11 @@ def token_spans(text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
     """First and past-the-end character of each token of ``text``."""
     encoding, lengths = encoder(path)
     raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
-    end = np.cumsum(lengths[np.array(encoding.encode_ordinary(text), dtype=np.int64)])
-    begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
+    size = lengths[np.array(encoding.encode_ordinary(text), dtype=np.int64)]
+    end = np.cumsum(size)
+    begin = end - size
     leads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # characters begun before each byte
-    inside = (raw[begin] & 0xC0) == 0x80 if begin.size else np.empty(0, dtype=bool)
+    inside = (raw[begin] & 0xC0) == 0x80
     first = leads[begin] - inside
     return first, np.maximum(leads[end], first + 1)
 

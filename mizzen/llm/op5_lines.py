@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .text import cut, let, words
 
 _VERSION, _GONE = "__mizzen_version", "__mizzen_gone"
-_PLACE = F.struct("doc", "pos")
+_PLACE = ("doc", "pos")
 
 
 def _lines(text: Column) -> Column:
@@ -42,7 +42,7 @@ def _solid(line: Column) -> Column:
 
 def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     """``suffixes`` in intervals of two or more, with the interval's ``rank`` and first place."""
-    groups = suffixes.groupBy(*keys).agg(F.min(_PLACE).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    groups = suffixes.groupBy(*keys).agg(F.min(F.struct(*_PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     ranked = cut(groups.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()))
     return suffixes.join(ranked, keys).drop(*keys)
 
@@ -55,7 +55,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
     level = cut(_intervals(suffixes, ["id"]).dropDuplicates(["doc", "version", "pos"]))
     depth, runs = 1, []
     while True:
-        later = level.where((F.col("first") < _PLACE) & (F.col("size") >= min_words))
+        later = level.where((F.col("first") < F.struct(*_PLACE)) & (F.col("size") >= min_words))
         runs.append(later.select("doc", "version", F.explode(F.sequence("pos", F.col("pos") + F.lit(depth - 1))).alias("pos")))
         if depth >= min_words:
             break
