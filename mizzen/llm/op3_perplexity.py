@@ -214,7 +214,7 @@ def _score_sharded(docs: DataFrame, model: DataFrame) -> DataFrame:
     return plain.drop("text").join(sums, "row", "left").drop("row")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 1.25, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 1.5, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, lang, text): doc_id, lang, perplexity, threshold, kept.
 
     Trusted are the documents that ``labels`` (doc_id, quality, toxic) calls good and not toxic.
