@@ -80,3 +80,12 @@ def preflight(df: DataFrame, most_cell: int = 1 << 20, most_row: int = 1 << 21)
     ]
     stats.append(F.struct(F.lit("*").alias("column"), none.alias("nulls"), none.alias("nuls"), F.coalesce(F.max(row), F.lit(0)).cast("bigint").alias("longest"), count(row > most_row).alias("over")))
     return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
+
+
+def rewrite(df: DataFrame, target: str) -> DataFrame:
+    """Write ``df`` as a table's next version at ``target`` and give it back only if it holds the same rows."""
+    df.write.mode("errorifexists").parquet(target)
+    out = df.sparkSession.read.parquet(target)
+    if not digest(df).union(digest(out)).distinct().count() == 1:
+        raise ValueError(f"{target} differs from what was written")
+    return out
