@@ -6,11 +6,10 @@
 2. Class representatives meet in band buckets. Each bucket's members are paired with its least
    member only, so a bucket of n gives n - 1 pairs. Signatures discard pairs far below the
    threshold, full shingle sets decide the rest, and the links give components.
-3. Buckets whose members still lie in different components are then searched completely: the
-   members outside the least member's component are paired with all members of other
-   components. Jaccard distance is a metric, so pairs whose distances to the least member
-   differ by more than the allowed distance can't be links and are not formed. After this every
-   pair of a bucket is linked, excluded by exact figures, or inside one component.
+3. Buckets whose members still lie in different components are then searched completely. Texts
+   that such buckets connect are a family; a family is dealt into blocks of about ``BLOCK`` texts, and
+   each task compares two blocks, giving only the links between different components. After this
+   every pair of a bucket is linked, measured, or inside one component.
 
 With 25 bands of 5 a pair at the threshold of 85% meets in no bucket with probability 4e-7.
 
@@ -30,7 +29,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .text import cut, mix, small_batches, word_hashes
+from .text import cut, fits, mix, small_batches, word_hashes
+
+#: Texts of a block in the complete search, and shingles compared at a time there.
+BLOCK, SLICE = 256, 8192
+#: Ids up to which a list of documents is broadcast.
+BROADCAST_IDS = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,7 +103,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"node": batch["node"], "values": [shingle_set(t, size).tobytes() for t in batch["text"]]})
 
-    wanted = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(nodes, "node", "left_semi")
+    side = F.broadcast(nodes) if fits(nodes, BROADCAST_IDS) else nodes
+    wanted = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(side, "node", "left_semi")
     return wanted.mapInPandas(scan, "node bigint, values binary")
 
 
@@ -150,14 +155,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top").drop("top")
     met = cut(banded.join(hubs, "bucket"))
     stars = met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    sets = cut(_sets(docs, met.select("node").distinct(), size))
+    sets = cut(_sets(docs, cut(met.select("node").distinct()), size))
     measured = cut(_measured(stars, nodes, sets, percent))
     linked = F.col("common") * 100 >= F.col("total") * percent
     links = measured.where(linked).select("a", "b")
     parts = connected_components(links)
 
-    rest = _unsettled(met, parts, measured, percent)
-    more = cut(_measured(rest, nodes, sets, percent)).where(linked).select("a", "b")
+    more = cut(_missed(met, parts, sets, percent))
     if not more.isEmpty():
         parts = connected_components(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(more))
 
@@ -168,21 +172,55 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _unsettled(met: DataFrame, parts: DataFrame, measured: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components that exact distances to its hub don't exclude."""
+def _missed(met: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different components so far."""
     own = parts.select(F.col("vertex").alias("node"), F.col("component").alias("part"))
     placed = met.join(own, "node", "left").withColumn("part", F.coalesce("part", "node"))
     split = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
-    far = measured.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("common") / F.col("total")).alias("far"))
-    open_ = placed.join(split, "bucket", "left_semi").join(far, ["hub", "node"], "left").withColumn("far", F.when(F.col("node") == F.col("hub"), F.lit(0.0)).otherwise(F.col("far")))
-    hub_part = open_.where("node = hub").select("bucket", F.col("part").alias("hub_part"))
-    open_ = cut(open_.join(hub_part, "bucket"))
-    x = open_.where("part <> hub_part").select("bucket", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("far").alias("fa"))
-    y = open_.select("bucket", F.col("node").alias("b"), F.col("part").alias("pb"), F.col("far").alias("fb"), "hub_part", "hub")
-    apart = F.coalesce(F.abs(F.col("fa") - F.col("fb")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-    once = (F.col("pb") == F.col("hub_part")) | (F.col("a") < F.col("b"))
-    pairs = x.join(y, "bucket").where((F.col("pa") != F.col("pb")) & once & apart & (F.col("b") != F.col("hub")))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    open_ = cut(placed.join(split, "bucket", "left_semi").select("node", "hub", "part").distinct())
+    families = connected_components(open_.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    members = open_.select("node", "part").distinct().join(families, F.col("node") == F.col("vertex")).select(F.col("component").alias("family"), "node", "part")
+    blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
+    dealt = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).join(sets, "node")
+    others = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
+    met_by = dealt.select("family", "node", "part", "values", "block", others.alias("other"))
+    pairs = met_by.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part", "values")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        each = [np.frombuffer(x, np.uint64) for x in rows["values"]]
+        size = np.array([x.size for x in each])
+        part, block, node = (rows[c].to_numpy() for c in ("part", "block", "node"))
+        shingle, where = np.unique(np.concatenate(each), return_inverse=True)
+        owner = np.repeat(np.arange(len(each)), size)
+        order = np.argsort(where, kind="stable")
+        where, owner = where[order], owner[order]
+        common = np.zeros((len(each), len(each)), dtype=np.float32)
+        for low in range(0, shingle.size, SLICE):
+            here = slice(*np.searchsorted(where, (low, low + SLICE)))
+            table = np.zeros((len(each), SLICE), dtype=np.float32)
+            table[owner[here], where[here] - low] = 1
+            common += table @ table.T
+        common = common.astype(np.int64)
+        total = size[:, None] + size[None, :] - common
+        apart = part[:, None] != part[None, :]
+        if block.min() != block.max():  # pairs inside a block are another task's
+            apart &= block[:, None] != block[None, :]
+        a, b = np.nonzero(apart & (common * 100 >= total * percent) & (node[:, None] < node[None, :]))
+        return pd.DataFrame({"a": node[a], "b": node[b]})
+
+    return pairs.groupBy("family", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component: the least id, once. Columns stay."""
+    found = cut(near_duplicates(docs.select("doc_id", "text"), size, percent))
+    ids = lambda df: df.select(F.col("doc_id").alias("__mizzen_doc")).distinct()
+    same = F.col("doc_id") == F.col("__mizzen_doc")
+    out = docs.join(ids(found.where(~F.col("kept"))), same, "left_anti")
+    twice = cut(ids(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")))
+    if twice.isEmpty():
+        return out
+    return out.join(twice, same, "left_anti").unionByName(out.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

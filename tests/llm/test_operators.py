@@ -397,7 +397,7 @@ def brute_near(rows, size, percent):
 
 def test_near(spark, docs):
     for size, percent in ((3, 85), (5, 80)):
-        assert results(op10_near.near_duplicates(docs, size, percent)) == [(a, b, c, d) for a, b, c, d in brute_null_ids(corpus(), size, percent)]
+        assert results(op10_near.near_duplicates(docs, size, percent)) == brute_near(corpus(), size, percent)
     kept = op10_near.drop_near_duplicates(docs, 3, 85)
     assert kept.columns == docs.columns
     want = Counter({i: 1 for i, _, c, k in brute_near(corpus(), 3, 85) if k and i is not None})
@@ -405,10 +405,6 @@ def test_near(spark, docs):
     assert op10_near.near_duplicates(docs.limit(0)).count() == 0
 
 
-def brute_null_ids(rows, size, percent):
-    return brute_near(rows, size, percent)
-
-
 def test_near_borderline(spark):
     """Many texts about one base, with links on both sides of the threshold and hubs that link few."""
     r = random.Random(11)
