@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What an enveloped text begins with: fixed by the format.
-ENVELOPE = "~dsqlb64:v1:"
+#: What an enveloped text begins with.
+ENVELOPE = "~b64:v1:"
 
 
 def concat(*parts: Column) -> Column:
