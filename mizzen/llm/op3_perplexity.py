@@ -37,7 +37,7 @@ from .text import cut, fits, small_batches
 ORDER = 4
 START, END = 0xFFFE, 0xFFFF
 #: Model rows up to which the model is broadcast: 16 bytes each on the executors.
-BROADCAST_RUNS = 4_000_000
+BROADCAST_RUNS = 2_000_000
 #: Trusted ids up to which their list is broadcast.
 BROADCAST_IDS = 1_000_000
 #: Distinct runs that a training task holds before it hands them on.
