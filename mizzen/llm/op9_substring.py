@@ -32,12 +32,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import cut, mix, small_batches, word_hashes
+from .text import cut, fits, mix, small_batches, word_hashes
 
 #: (kind, longest symbol in words that takes part) of each round.
-ROUNDS = (("run", 1), ("pair", 1), ("pair", 1), ("run", 2), ("pair", 2), ("pair", 2), ("pair", 3))
+ROUNDS = (("run", 1), ("pair", 1), ("pair", 1), ("run", 2), ("pair", 2))
 #: Words on either side that a boundary of the last round depends on.
 REACH = sum(limit for _, limit in ROUNDS)
+#: Ids up to which a list of documents is broadcast.
+BROADCAST_IDS = 1_000_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -195,12 +197,12 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     plain = docs.select(F.col("doc_id").cast("bigint"), "text")
     base = cut(_scan(plain, window))
     classes = base.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first_id"))
-    placed = cut(base.join(classes, "sha", "left"))
-    leads = placed.where("doc_id = first_id").dropDuplicates(["sha"])
+    leads = base.join(classes, "sha").where("doc_id = first_id").dropDuplicates(["sha"])
     marks = leads.select("doc_id", "version", F.explode("marks").alias("name"))
     shared = marks.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name")
-    hits = marks.join(shared, "name").groupBy("doc_id", "version").agg(F.collect_list("name").alias("names"))
-    texts = cut(plain.join(hits, "doc_id"))
+    hits = cut(marks.join(shared, "name").groupBy("doc_id", "version").agg(F.collect_list("name").alias("names")))
+    ids = hits.select("doc_id").distinct()
+    texts = plain.join(F.broadcast(ids) if fits(ids, BROADCAST_IDS) else ids, "doc_id", "left_semi").join(hits, "doc_id")
 
     wins = _windows(texts, window)
     lows = wins.groupBy("x", "y").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
@@ -208,7 +210,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     cuts = _stripped(texts.drop("names").join(places, ["doc_id", "version"]), window).dropDuplicates(["doc_id", "version"])
 
     copy = F.coalesce((F.col("doc_id") > F.col("first_id")) & (F.col("n") >= window), F.lit(False))
-    out = placed.drop("marks").join(cuts, ["doc_id", "version"], "left")
+    out = base.drop("marks").join(classes, "sha", "left").join(cuts, ["doc_id", "version"], "left")
     rest = F.when(copy, F.lit("")).otherwise(F.col("rest"))
     removed = F.when(copy, F.col("n")).otherwise(F.coalesce("removed", F.lit(0).cast("bigint")))
     digest = F.when(copy | F.col("rest").isNotNull(), F.sha2(rest, 256)).otherwise(F.lower(F.hex("sha")))
