@@ -64,12 +64,17 @@ def _classes(sizes: list[int], percent: int) -> list[tuple[int, int, int, int]]:
     return found
 
 
-def _minima(values: Column, bands: int) -> Column:
+def _minima(values: Column, bands: Column) -> Column:
     """The least hash of ``values`` under each of ``bands`` hash functions."""
-    seeds = F.sequence(F.lit(1), F.lit(bands))
+    seeds = F.sequence(F.lit(1), bands)
     return F.transform(seeds, lambda k: F.array_min(F.transform(values, lambda h: F.xxhash64(h, k))))
 
 
+def _starts(upper: int, step: int) -> Column:
+    """The windows of one size class, as (upper, place)."""
+    return F.transform(F.sequence(F.lit(0), F.size("own") - 1, F.lit(step)), lambda p: F.struct(F.lit(upper).alias("upper"), p.alias("place")))
+
+
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, size: int = 5, percent: int = 80) -> DataFrame:
     """Rows (doc_id, template, place, n_shared, n_shingles): the first best window of each template found.
 
@@ -85,20 +90,20 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, si
     met = docs.select("doc_id", F.xxhash64("text").alias("version"), _shingles(F.col("text"), size).alias("own"))
     met = met.withColumn("hits", F.array_intersect("own", every)).where(F.size("hits") > 0)
 
-    found = None
-    for upper, step, window, bands in _classes([len(r.shingles) for r in known], percent):
-        starts = F.sequence(F.lit(0), F.size("own") - 1, F.lit(step))
-        windows = met.select("doc_id", "version", "own", "hits", F.explode(starts).alias("place"))
-        windows = windows.select("doc_id", "version", "place", F.slice("own", F.col("place") + 1, F.lit(window)).alias("part"), "hits").where(F.arrays_overlap("part", "hits"))
-        banded = windows.select("doc_id", "version", "place", "part", F.posexplode(_minima(F.col("part"), bands)).alias("band", "least"))
-        mine = whole.where((F.size("shingles") <= upper) & (F.size("shingles") > upper // 2))
-        keys = mine.select("template", "shingles", F.posexplode(_minima(F.col("shingles"), bands)).alias("band", "least"))
-        hit = banded.join(F.broadcast(keys), ["band", "least"]).withColumn("n_shared", F.size(F.array_intersect("part", "shingles")))
-        hit = hit.where(F.col("n_shared") * 100 >= F.size("shingles") * percent)
-        hit = hit.select("doc_id", "version", "template", "place", "n_shared", F.size("shingles").alias("n_shingles"))
-        found = hit if found is None else found.unionByName(hit)
-    if found is None:
-        return met.select("doc_id", F.lit("").alias("template"), F.lit(0).alias("place"), F.lit(0).cast("bigint").alias("n_shared"), F.lit(0).cast("bigint").alias("n_shingles")).limit(0)
+    # All classes in one pass over the text: (class, first shingle) of each window, then its shingles.
+    classes = _classes([len(r.shingles) for r in known], percent)
+    starts = [_starts(upper, step) for upper, step, _, _ in classes]
+    each = F.concat(*starts) if starts else F.array().cast("array<struct<upper:int,place:int>>")
+    width, bands = (F.create_map(*[F.lit(x) for c in classes for x in (c[0], c[k])]) if classes else F.create_map(F.lit(0), F.lit(1)) for k in (2, 3))
+    windows = met.select("doc_id", "version", "own", "hits", F.explode(each).alias("w")).select("doc_id", "version", "own", "hits", "w.upper", "w.place")
+    windows = windows.withColumn("part", F.slice("own", F.col("place") + 1, F.element_at(width, F.col("upper")))).where(F.arrays_overlap("part", "hits"))
+    banded = windows.select("doc_id", "version", "upper", "place", "part", F.posexplode(_minima(F.col("part"), F.element_at(bands, F.col("upper")))).alias("band", "least"))
+    uppers = F.array(*[F.lit(c[0]) for c in classes]) if classes else F.array().cast("array<int>")
+    sized = whole.withColumn("upper", F.get(F.filter(uppers, lambda u: u >= F.size("shingles")), F.lit(0)))
+    keys = sized.select("template", "shingles", "upper", F.posexplode(_minima(F.col("shingles"), F.element_at(bands, F.col("upper")))).alias("band", "least"))
+    hit = banded.join(F.broadcast(keys), ["upper", "band", "least"]).withColumn("n_shared", F.size(F.array_intersect("part", "shingles")))
+    hit = hit.where(F.col("n_shared") * 100 >= F.size("shingles") * percent)
+    found = hit.select("doc_id", "version", "template", "place", "n_shared", F.size("shingles").alias("n_shingles"))
     best = F.max(F.struct("n_shared", (-F.col("place")).alias("at"), "n_shingles")).alias("best")
     out = found.groupBy("doc_id", "version", "template").agg(best)
     return out.select("doc_id", "template", (-F.col("best.at")).alias("place"), F.col("best.n_shared").cast("bigint").alias("n_shared"), F.col("best.n_shingles").cast("bigint").alias("n_shingles"))
