@@ -122,7 +122,9 @@ def assess(docs: DataFrame, max_loss: float = 0.5) -> DataFrame:
 def clean(docs: DataFrame, max_loss: float = 0.5) -> DataFrame:
     """The kept documents without their failed lines; columns stay, ``n_chars`` follows the text."""
     name = "__mizzen_quality"
-    kept = docs.withColumn(name, measures(F.col("text"), max_loss)).where(F.col(name)["kept"])
+    # An array of the verdict or of nothing: exploding it filters without a second evaluation.
+    verdict = F.filter(F.array(measures(F.col("text"), max_loss)), lambda m: m["kept"])
+    kept = docs.select("*", F.explode(verdict).alias(name))
     return kept.withColumn("text", F.col(name)["cleaned"]).withColumn("n_chars", F.char_length("text").cast("bigint")).drop(name)
 
 
