@@ -135,10 +135,18 @@ def train(counts: DataFrame) -> DataFrame:
 class _Model:
     """The model of each language as sorted arrays, by order."""
 
-    def __init__(self, rows: pd.DataFrame):
-        self.tables: dict[str, dict] = {}
-        for (lang, n), part in rows.sort_values("g").groupby(["lang", "n"]):
-            self.tables.setdefault(lang, {})[int(n)] = (part["g"].to_numpy(), np.log(part["p"].to_numpy()), np.log(part["b"].to_numpy()))
+    def __init__(self, model: DataFrame):
+        langs = [r.lang for r in model.where("n = 0").select("lang").collect()]  # one row a language
+        self.tables: dict[str, dict] = {lang: {} for lang in langs}
+        number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int").alias("k")
+        for n in range(ORDER + 1):
+            rows = model.where(F.col("n") == n).select(number, "g", F.log("p").alias("p"), F.log("b").alias("b")).toPandas()
+            k, g, p, b = (rows[c].to_numpy() for c in ("k", "g", "p", "b"))
+            order = np.lexsort((g, k))
+            for i, lang in enumerate(langs, 1):
+                mine = order[slice(*np.searchsorted(k[order], (i, i + 1)))]
+                if mine.size:
+                    self.tables[lang][n] = (g[mine], p[mine], b[mine])
 
     def logs(self, lang: str, keys: np.ndarray) -> np.ndarray:
         """The log probability of each run."""
@@ -166,8 +174,10 @@ class _Model:
 
 
 def _score_local(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """Perplexities looked up in a model that every executor holds."""
-    shared = docs.sparkSession.sparkContext.broadcast(_Model(model.toPandas()))
+    """Perplexities looked up in a model that every executor holds for as long as this takes."""
+    if model.isEmpty():
+        return docs.select("doc_id", "lang", "trusted", F.lit(None).cast("double").alias("perplexity"))
+    shared = docs.sparkSession.sparkContext.broadcast(_Model(model))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
@@ -183,7 +193,9 @@ def _score_local(docs: DataFrame, model: DataFrame) -> DataFrame:
                 value[rows] = np.exp(-np.add.reduceat(logs, np.cumsum(size) - size) / size)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang": batch["lang"], "trusted": batch["trusted"], "perplexity": pd.array([None if np.isnan(x) else x for x in value], dtype="Float64")})
 
-    return docs.select("doc_id", "lang", "trusted", "text").mapInPandas(scan, "doc_id bigint, lang string, trusted boolean, perplexity double")
+    out = cut(docs.select("doc_id", "lang", "trusted", "text").mapInPandas(scan, "doc_id bigint, lang string, trusted boolean, perplexity double"))
+    shared.destroy()
+    return out
 
 
 def _score_sharded(docs: DataFrame, model: DataFrame) -> DataFrame:
@@ -225,7 +237,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack:
     plain = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("lang", F.lit("")).alias("lang"), "text")
     marked = plain.join(side, F.col("doc_id") == F.col("good_id"), "left").withColumn("trusted", F.col("good_id").isNotNull()).drop("good_id")
     model = train(run_counts(marked.where("trusted")))
-    scored = cut((_score_local if fits(model, broadcast_runs) else _score_sharded)(marked, model))
+    scored = _score_local(marked, model) if fits(model, broadcast_runs) else cut(_score_sharded(marked, model))
     limits = cut(scored.where("trusted").groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold")))
     out = scored.join(F.broadcast(limits) if fits(limits, BROADCAST_IDS) else limits, "lang", "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
