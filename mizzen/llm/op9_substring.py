@@ -205,7 +205,8 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     texts = plain.join(F.broadcast(ids) if fits(ids, BROADCAST_IDS) else ids, "doc_id", "left_semi").join(hits, "doc_id")
 
     wins = _windows(texts, window)
-    lows = wins.groupBy("x", "y").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    # Cut, so that the join below has a shuffle of its own, whose large partitions Spark can split.
+    lows = cut(wins.groupBy("x", "y").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high"))
     places = wins.join(lows, ["x", "y"]).where("doc_id > low").groupBy("doc_id", "version").agg(F.collect_set("place").alias("places"))
     cuts = _stripped(texts.drop("names").join(places, ["doc_id", "version"]), window).dropDuplicates(["doc_id", "version"])
 
