@@ -7,20 +7,24 @@ from pyspark.sql import functions as F
 
 from .text import cut
 
+#: Parts into which a vertex's edges are dealt.
+SALTS = 8
+
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """``edges`` (u, v) with ``m``, the least of u and all its v.
 
-    The minimum is aggregated before the shuffle and joined back, so a vertex with very many
-    neighbours is met as rows of a join that adaptive execution can split, never as one group.
+    The minimum is aggregated before the shuffle and joined back under a salt, so the edges of a
+    vertex with very many neighbours are spread over ``SALTS`` tasks, which Spark can split further.
     """
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"]).drop("salt")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@
 2. Class representatives meet in band buckets. Each bucket's members are paired with its least
    member only, so a bucket of n gives n - 1 pairs. Signatures discard pairs far below the
    threshold, full shingle sets decide the rest, and the links give components.
-3. Buckets whose members still lie in different components are then searched completely. Texts
-   that such buckets connect are a family; a family is dealt into blocks of about ``BLOCK`` texts, and
+3. Buckets whose members still lie in different components are then searched completely. The
+   texts in buckets of one least member are a family; a family is dealt into blocks of about ``BLOCK`` texts, and
    each task compares two blocks, giving only the links between different components. After this
    every pair of a bucket is linked, measured, or inside one component.
 
@@ -177,9 +177,8 @@ def _missed(met: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) ->
     own = parts.select(F.col("vertex").alias("node"), F.col("component").alias("part"))
     placed = met.join(own, "node", "left").withColumn("part", F.coalesce("part", "node"))
     split = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
-    open_ = cut(placed.join(split, "bucket", "left_semi").select("node", "hub", "part").distinct())
-    families = connected_components(open_.select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    members = open_.select("node", "part").distinct().join(families, F.col("node") == F.col("vertex")).select(F.col("component").alias("family"), "node", "part")
+    # Texts that share a bucket share its hub, so a hub's texts are a family that misses no pair.
+    members = cut(placed.join(split, "bucket", "left_semi").select(F.col("hub").alias("family"), "node", "part").distinct())
     blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
     dealt = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")).join(sets, "node")
     others = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
