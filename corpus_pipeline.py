@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs go; a document left without any word goes with them."""
-    return dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return dedup_lines(docs, every_length=True).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,9 +9,15 @@ that order are the new ranks. Suffixes of one rank are an LCP interval of that d
 alone in its interval has no longer repeat and leaves. The first suffix of an interval, by
 (doc_id, line), stays; the others begin a later copy of ``depth`` lines.
 
-A line is deleted when it lies in a run of 1, 2, 4, ... lines with at least ``min_words`` words in
-all that also begins earlier. Overlapping runs add up to the maximal repeated run. A run of
-``min_words`` lines always has the words, so doubling ends there.
+A line is deleted when it lies in a run of 1, 2, 3, ... ``min_words`` lines with at least
+``min_words`` words in all that also begins earlier. A longer run of the kind is covered by its parts
+of ``min_words`` lines, which always have the words, so longer lengths delete nothing more. A length
+between ``depth`` and twice ``depth`` needs no ranks of its own: its runs are equal when their first
+and their last ``depth`` lines are, so they are grouped by the pair of those two ranks.
+
+Without ``every_length`` only the lengths that the doubling itself passes are tested, 1, 2, 4, ... up to
+the first that is not below ``min_words``. Repeated runs of lengths between them are then kept
+where their shorter parts have too few words.
 
 Intervals are counted with partial aggregation and joined back; an interval that a third of all
 documents share is rows of a join that adaptive execution splits.
@@ -40,29 +46,60 @@ def _solid(line: Column) -> Column:
     return line.rlike(r"[^\x20\x09-\x0D]")
 
 
+def _firsts(suffixes: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``keys`` that two or more ``suffixes`` have, with their ``first`` place."""
+    return suffixes.groupBy(*keys).agg(F.min(F.struct(*_PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+
+
 def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     """``suffixes`` in intervals of two or more, with the interval's ``rank`` and first place."""
-    groups = suffixes.groupBy(*keys).agg(F.min(F.struct(*_PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    ranked = cut(groups.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()))
+    ranked = cut(_firsts(suffixes, keys).orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()))
     return suffixes.join(ranked, keys).drop(*keys)
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def _needing(lines: Column, min_words: int) -> Column:
+    """``lines`` (id, size) as (id, need): how many lines from each on have ``min_words`` words, at most ``min_words``."""
+    start = F.struct(F.lit(0).alias("words"), F.lit(1).alias("lines"))
+
+    def step(had: Column, line: Column) -> Column:
+        held = had["words"] + line["size"]
+        return F.struct(held.alias("words"), (had["lines"] + F.when(held < min_words, 1).otherwise(0)).alias("lines"))
+
+    def each(x: Column, i: Column, every: Column) -> Column:
+        return F.struct(x["id"].alias("id"), F.aggregate(F.slice(every, i + 1, max(min_words - 1, 0)), start, step)["lines"].alias("need"))
+
+    return let(lines, lambda every: F.transform(every, lambda x, i: each(x, i, every)))
+
+
+def _later(runs: DataFrame, length: int) -> DataFrame:
+    """Rows (doc, version, pos): the lines of the ``runs`` that begin at a place after their ``first``."""
+    found = runs.where(F.col("first") < F.struct(*_PLACE))
+    return found.select("doc", "version", F.explode(F.sequence("pos", F.col("pos") + F.lit(length - 1))).alias("pos"))
+
+
+def repeated_lines(docs: DataFrame, min_words: int = 5, every_length: bool = False) -> DataFrame:
     """Rows (doc, version, gone): the places, among lines with a word, of each document's later copies."""
-    each = F.transform(F.filter(_lines(F.col("text")), _solid), lambda x: F.struct(F.xxhash64(x).alias("id"), F.size(words(x)).cast("bigint").alias("size")))
-    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("version"), F.posexplode(each).alias("pos", "line"))
-    suffixes = cut(rows.select("doc", "version", "pos", F.col("line.id").alias("id"), F.col("line.size").alias("size")))
+    each = F.transform(F.filter(_lines(F.col("text")), _solid), lambda x: F.struct(F.xxhash64(x).alias("id"), F.size(words(x)).alias("size")))
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("version"), F.posexplode(_needing(each, min_words)).alias("pos", "line"))
+    suffixes = cut(rows.select("doc", "version", "pos", F.col("line.id").alias("id"), F.col("line.need").alias("need")))
     level = cut(_intervals(suffixes, ["id"]).dropDuplicates(["doc", "version", "pos"]))
-    depth, runs = 1, []
-    while True:
-        later = level.where((F.col("first") < F.struct(*_PLACE)) & (F.col("size") >= min_words))
-        runs.append(later.select("doc", "version", F.explode(F.sequence("pos", F.col("pos") + F.lit(depth - 1))).alias("pos")))
-        if depth >= min_words:
-            break
-        behind = level.select("doc", "version", (F.col("pos") - depth).alias("pos"), F.col("rank").alias("then"), F.col("size").alias("more"))
-        doubled = level.drop("first").join(behind, ["doc", "version", "pos"]).withColumn("size", F.col("size") + F.col("more")).drop("more")
-        level = cut(_intervals(doubled.withColumnRenamed("rank", "now"), ["now", "then"]))
+    depth, runs = 1, [_later(level.where("need <= 1"), 1)]
+
+    def paired(length: int) -> DataFrame:
+        """The suffixes with the ranks of their first and last ``depth`` lines of ``length``."""
+        behind = level.select("doc", "version", (F.col("pos") - (length - depth)).alias("pos"), F.col("rank").alias("then"))
+        return level.drop("first").withColumnRenamed("rank", "now").join(behind, ["doc", "version", "pos"])
+
+    while depth < min_words:
+        if every_length:
+            for length in range(depth + 1, min(2 * depth, min_words + 1)):
+                pairs = cut(paired(length).where(F.col("need") <= length))
+                runs.append(_later(pairs.join(_firsts(pairs, ["now", "then"]), ["now", "then"]), length))
+            if 2 * depth > min_words:
+                break
+        level = cut(_intervals(paired(2 * depth), ["now", "then"]))
         depth *= 2
+        runs.append(_later(level.where(F.col("need") <= depth), depth))
     found = runs[0]
     for more in runs[1:]:
         found = found.unionByName(more)
@@ -81,13 +118,13 @@ def _rest(text: Column, gone: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(let(_lines(text), kept))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 5, every_length: bool = False) -> DataFrame:
     """``docs`` with later copies of line runs deleted from ``text``; ``n_chars`` follows the text."""
-    return _applied(docs, min_words).drop(_GONE).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    return _applied(docs, min_words, every_length).drop(_GONE).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
-def _applied(docs: DataFrame, min_words: int) -> DataFrame:
-    gone = repeated_lines(docs, min_words).select(F.col("doc").alias("__mizzen_doc"), F.col("version").alias("__mizzen_v"), F.col("gone").alias(_GONE))
+def _applied(docs: DataFrame, min_words: int, every_length: bool) -> DataFrame:
+    gone = repeated_lines(docs, min_words, every_length).select(F.col("doc").alias("__mizzen_doc"), F.col("version").alias("__mizzen_v"), F.col("gone").alias(_GONE))
     marked = docs.withColumn(_VERSION, F.xxhash64("text"))
     same = (F.col("doc_id") == F.col("__mizzen_doc")) & (F.col(_VERSION) == F.col("__mizzen_v"))
     return marked.join(gone, same, "left").withColumn("text", _rest(F.col("text"), F.col(_GONE))).drop("__mizzen_doc", "__mizzen_v", _VERSION)
@@ -97,7 +134,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     lost = F.coalesce(F.size(F.col(_GONE)), F.lit(0))
     left = F.size(F.filter(_lines(F.col("text")), _solid))
-    out = _applied(docs, 5).select("doc_id", left.alias("left"), F.greatest(lost, F.lit(0)).alias("lost"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    out = _applied(docs, 5, every_length=True).select("doc_id", left.alias("left"), F.greatest(lost, F.lit(0)).alias("lost"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
     return out.select("doc_id", (F.col("left") + F.col("lost")).cast("bigint").alias("n_lines"), F.col("lost").cast("bigint").alias("n_deleted"), "kept_sha256")
 
 

@@ -233,6 +233,31 @@ def test_lines(spark):
     assert op5_lines.dedup_lines(given.limit(0)).count() == 0
 
 
+def test_lines_of_every_length(spark):
+    r = random.Random(6)
+    pool = [prose(f"l{i}", n) for i, n in enumerate([1, 1, 1, 2, 2, 3, 6])] + [""]
+    rows = [(i, "\n".join(r.choice(pool) for _ in range(r.randrange(1, 16)))) for i in range(40)]
+    rows += [(100 + i, f"Home\nAbout us\nContact us\n{prose(i, 9)}") for i in range(3)]
+    rows += [(110 + i, "\n".join([prose(20 + i, 9), "a b c d e", "f", "g", prose(30 + i, 9)])) for i in range(2)]
+    rows += [(120 + n, f"{prose(40 + n, 9)}\n" + "\n".join(f"m{k}" for k in range(n)) + f"\n{prose(50 + n, 9)}") for n in (4, 5, 6, 7)]
+    rows += [(3, rows[3][1]), (3, rows[4][1]), (None, rows[5][1]), (90, None), (91, "")]
+
+    def brute(least):
+        solid = [[x for x in (t or "").split("\n") if WORD.search(x)] for _, t in rows]
+        spans = [(tuple(ls[p : p + d]), rows[k][0], p, k) for k, ls in enumerate(solid) if rows[k][0] is not None for p in range(len(ls)) for d in range(1, len(ls) - p + 1)]
+        first, gone = {}, defaultdict(set)
+        for run, i, p, _ in spans:
+            first[run] = min(first.get(run, (i, p)), (i, p))
+        for run, i, p, k in spans:
+            if first[run] < (i, p) and sum(len(WORD.findall(x)) for x in run) >= least:
+                gone[k].update(range(p, p + len(run)))
+        return sorted(((i, [x for p, x in enumerate(solid[k]) if p not in gone[k]]) for k, (i, _) in enumerate(rows)), key=str)
+
+    for least in (1, 3, 5, 7, 8):
+        out = op5_lines.dedup_lines(table(spark, rows), least, every_length=True)
+        assert sorted(((x.doc_id, [y for y in (x.text or "").split("\n") if WORD.search(y)]) for x in out.collect()), key=str) == brute(least), least
+
+
 def test_mixing(spark):
     r = random.Random(4)
     names = ["a", "b", "c", "d", "é", "", None]
