@@ -14,12 +14,16 @@ at most ``BROADCAST_RUNS`` rows, which is counted first, it is sent to the execu
 where the texts are. A larger model stays sharded, and the documents' run counts are joined to it.
 Both ways have the same result.
 
-A document is kept if its perplexity is at most ``slack`` times the ``quantile`` of the trusted
-documents' perplexities in its language.
+A document is kept if its perplexity is at most the ``quantile`` of the trusted documents'
+perplexities in its language, each under a model that did not see it: trusted texts are dealt into two
+folds by their hash, so that copies share a fold, and each fold is scored by the model of the other. The
+two folds' models and the whole one are counted and trained together, as models of languages whose
+names begin with the fold or with ``WHOLE``, and looked up one after another.
 
 Defined results: null or empty text has only the end mark to score; a null language is a language;
-in a language without trusted text perplexity and threshold are null and documents are kept; a null id is
-scored like any other; repeated rows are scored each; without documents the result is empty; other
+in a language without trusted text perplexity and threshold are null and documents are kept; where all
+trusted texts of a language fall in one fold, as a single one does, threshold is null and documents are
+kept; a null id is scored like any other; repeated rows are scored each; without documents the result is empty; other
 columns are not read.
 """
 
@@ -36,6 +40,8 @@ from .text import cut, fits, small_batches
 
 ORDER = 4
 START, END = 0xFFFE, 0xFFFF
+#: First letter of a language's name in the model of all its trusted texts; those of its folds have 0 and 1.
+WHOLE = "a"
 #: Model rows up to which the model is broadcast: 16 bytes each on the executors.
 BROADCAST_RUNS = 2_000_000
 #: Trusted ids up to which their list is broadcast.
@@ -226,7 +232,11 @@ def _score_sharded(docs: DataFrame, model: DataFrame) -> DataFrame:
     return plain.drop("text").join(sums, "row", "left").drop("row")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 1.5, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
+def _folded(text: Column) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(2)).cast("int")
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, lang, text): doc_id, lang, perplexity, threshold, kept.
 
     Trusted are the documents that ``labels`` (doc_id, quality, toxic) calls good and not toxic.
@@ -236,10 +246,21 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack:
     side = F.broadcast(good) if fits(good, BROADCAST_IDS) else good
     plain = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("lang", F.lit("")).alias("lang"), "text")
     marked = plain.join(side, F.col("doc_id") == F.col("good_id"), "left").withColumn("trusted", F.col("good_id").isNotNull()).drop("good_id")
-    model = train(run_counts(marked.where("trusted")))
-    scored = _score_local(marked, model) if fits(model, broadcast_runs) else cut(_score_sharded(marked, model))
-    limits = cut(scored.where("trusted").groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold")))
-    out = scored.join(F.broadcast(limits) if fits(limits, BROADCAST_IDS) else limits, "lang", "left")
+    fold = _folded(F.col("text"))
+    halves = cut(run_counts(marked.where("trusted").withColumn("lang", F.concat(fold.cast("string"), "lang"))))
+    whole = halves.groupBy(F.concat(F.lit(WHOLE), F.substring("lang", 2, 1 << 30)).alias("lang"), "g").agg(F.sum("c").alias("c"))
+    model = train(halves.unionByName(whole))
+    local = fits(model, broadcast_runs)
+    scored = None
+    for by in ("0", "1", WHOLE):  # one after another, so that the driver holds one model at a time
+        asked = marked if by == WHOLE else marked.where(F.col("trusted") & (fold == 1 - int(by)))
+        asked, own = asked.withColumn("lang", F.concat(F.lit(by), "lang")), model.where(F.col("lang").startswith(by))
+        part = (_score_local(asked, own) if local else cut(_score_sharded(asked, own))).withColumn("by", F.lit(by))
+        scored = part if scored is None else scored.unionByName(part)
+    scored = scored.select("doc_id", "by", F.substring("lang", 2, 1 << 30).alias("lang"), "perplexity")
+    unseen = scored.where(F.col("by") != WHOLE)
+    limits = cut(unseen.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")))
+    out = scored.where(F.col("by") == WHOLE).join(F.broadcast(limits) if fits(limits, BROADCAST_IDS) else limits, "lang", "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("doc_id", "lang", "perplexity", "threshold", kept.alias("kept"))
 

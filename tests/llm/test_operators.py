@@ -164,6 +164,33 @@ def test_perplexity(spark):
     assert op3_perplexity.classify(given.limit(0), labels).count() == 0
 
 
+def test_threshold_is_that_of_unseen_texts(spark):
+    r = random.Random(2)
+    say = lambda n: " ".join("".join(r.choice("aeiourstln") for _ in range(r.randrange(2, 7))) for _ in range(n))
+    texts = [say(r.randrange(5, 30)) for _ in range(80)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(80, texts[0], "en", "s"), (81, "only one", "fr", "s"), (82, "zzzz", "fr", "s")]
+    given = table(spark, rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(82)], "doc_id long, quality int, toxic int")
+    fold = {x.doc_id: x.f for x in given.select("doc_id", op3_perplexity._folded(F.col("text")).alias("f")).collect()}
+    value = []
+    for half in (0, 1):
+        p = kneser_ney([t for i, t, g, _ in rows if g == "en" and fold[i] != half])
+        for i, t, g, _ in rows:
+            if g == "en" and fold[i] == half:
+                keys = op3_perplexity.runs(t)
+                value.append(math.exp(-sum(math.log(p(k)) for k in keys) / keys.size))
+    for most in (op3_perplexity.BROADCAST_RUNS, 0):
+        for quantile in (0.99, 0.5):
+            got = op3_perplexity.classify(given, labels, quantile, broadcast_runs=most).collect()
+            want = sorted(value)[math.ceil(quantile * len(value)) - 1]
+            assert len(got) == len(rows)
+            for x in got:
+                if x.lang == "fr":
+                    assert x.threshold is None and x.kept and x.perplexity > 0
+                else:
+                    assert x.threshold == pytest.approx(want) and x.kept == (x.perplexity <= x.threshold)
+
+
 @pytest.mark.parametrize("rule", op4_tokens.RULES)
 def test_tokens(spark, docs, rule):
     texts = ["a\n\n\nb", "", "\n", "é\né", "line one\nline two\n", "  \n  x", "日本\n語😀\n", "x" * 30_000 + "\n" + "yz " * 2000, None]
