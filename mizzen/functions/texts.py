@@ -1,22 +1,16 @@
-"""Text functions, grouped concatenation, and the envelope for texts that a store can't hold."""
+"""Text functions and grouped concatenation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What an enveloped text begins with.
-ENVELOPE = "~b64:v1:"
+from .coercion import as_text
 
 
-def concat(*parts: Column) -> Column:
-    """NULL if any part is."""
-    return F.concat(*[p.cast("string") for p in parts])
-
-
-def length(text: Column) -> Column:
-    """Length in bytes."""
-    return F.octet_length(text)
+def concat(df: DataFrame, *parts) -> Column:
+    """CONCAT of values of any type; NULL if any is."""
+    return F.concat(*[as_text(df, p) for p in parts])
 
 
 def substring(text: Column, at: int, n: int | None = None) -> Column:
@@ -28,28 +22,15 @@ def substring(text: Column, at: int, n: int | None = None) -> Column:
     return whole if n is None else F.left(whole, F.lit(n))
 
 
-def group_concat(value: Column, separator: str = ",", distinct: bool = False, descending: bool = False) -> Column:
-    """Aggregate: the group's texts in order, NULL left out, NULL for none.
+def group_concat(value: Column, separator: str = ",", distinct: bool = False, descending: bool = False, by: Column | None = None) -> Column:
+    """Aggregate: the group's texts in order of ``by`` and then of themselves, NULL left out, NULL for none.
 
-    One row of output holds the whole list, so a group should be of a size to print.
+    Distinct texts have no order but their own. One row of output holds the whole list, so a group
+    should be of a size to print.
     """
+    if distinct and by is not None:
+        raise ValueError("distinct texts are ordered by themselves")
     text = value.cast("string")
-    items = F.sort_array((F.collect_set if distinct else F.collect_list)(text), asc=not descending)
-    return F.when(F.size(items) > 0, F.array_join(items, separator))
-
-
-def encode(text: Column) -> Column:
-    """Envelope a text that holds a NUL or looks enveloped; others stay."""
-    risky = F.instr(text, "\0").cast("boolean") | text.startswith(ENVELOPE)
-    packed = F.concat(F.lit(ENVELOPE), F.sha2(text.cast("binary"), 256), F.lit(":"), F.regexp_replace(F.base64(text.cast("binary")), r"[\r\n]", ""))
-    return F.when(risky, packed).otherwise(text)
-
-
-def decode(text: Column) -> Column:
-    """Undo ``encode``; an envelope whose digest doesn't match is an error."""
-    n = len(ENVELOPE)
-    body = F.unbase64(F.substring(text, n + 66, 2**31 - 1))
-    digest = F.substring(text, n + 1, 64)
-    plain = F.decode(body, "UTF-8")
-    checked = F.when(F.sha2(body, 256) == digest, plain).otherwise(F.raise_error(F.lit("damaged envelope")).cast("string"))
-    return F.when(text.startswith(ENVELOPE), checked).otherwise(text)
+    keyed = text if by is None else F.when(text.isNotNull(), F.struct(by.alias("by"), text.alias("text")))
+    items = F.sort_array((F.collect_set if distinct else F.collect_list)(keyed), asc=not descending)
+    return F.when(F.size(items) > 0, F.array_join(items if by is None else F.transform(items, lambda x: x["text"]), separator))

@@ -1,17 +1,21 @@
 """Row changes. Each function takes the table as it is and gives the table as it will be.
 
 Nothing is changed in place: the caller writes the result as the table's next version. Joins are on
-key columns, so table and change are shuffled once each; a small change is broadcast by Spark.
+key columns, so table and change are shuffled once each; a small change is broadcast by Spark. Rows
+that come in an order are numbered in it once and written, so that no retry numbers them anew.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut
+from .relational import duplicates
+
 _N = "__mizzen_n"
 
 
@@ -25,18 +29,24 @@ def with_defaults(rows: DataFrame, like: DataFrame, defaults: dict[str, object]
     return rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cols, like.schema)])
 
 
+def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with a number that rises in ``order``, in the order of all columns where that ties."""
+    rest = [c for c in rows.columns if c not in order]
+    return cut(rows.orderBy(*order, *rest).withColumn(_N, F.monotonically_increasing_id()))
+
+
 def with_identity(rows: DataFrame, column: str, order: list[str], last: int) -> DataFrame:
     """Number the rows whose identity is NULL or 0 from ``last`` on, in ``order``.
 
-    Ranges of the order are numbered apart and their sizes summed up, so no task sorts all rows.
+    The sorted rows are written in parts; the parts' sizes are summed up, so no task sorts all rows.
     """
     asks = F.coalesce(F.col(column), F.lit(0)) == 0
-    new = rows.where(asks).drop(column).repartitionByRange(*order).sortWithinPartitions(*order)
-    new = new.withColumn("__part", F.spark_partition_id()).withColumn(_N, F.monotonically_increasing_id())
-    new = new.withColumn(_N, F.col(_N).bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+    part, place = F.shiftrightunsigned(F.col(_N), 33), F.col(_N).bitwiseAND(F.lit((1 << 33) - 1))
+    new = _numbered(rows.where(asks).drop(column), order).withColumn("__part", part)
+    # As many rows as the sort had parts.
     sizes = new.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = sizes.withColumn("__before", F.sum("__size").over(Window.orderBy("__part")) - F.col("__size")).drop("__size")
-    numbered = new.join(before, "__part").withColumn(column, (F.col(_N) + F.col("__before") + last).cast(rows.schema[column].dataType))
+    numbered = new.join(F.broadcast(before), "__part").withColumn(column, (place + 1 + F.col("__before") + last).cast(rows.schema[column].dataType))
     return rows.where(~asks).unionByName(numbered.select(*rows.columns))
 
 
@@ -45,32 +55,60 @@ def highest_identity(table: DataFrame, column: str) -> int:
     return table.agg(F.max(column)).first()[0] or 0
 
 
-def _first_of_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key; rows with NULL in the key don't conflict."""
-    free = reduce(or_, [F.col(k).isNull() for k in key])
-    ranked = rows.where(~free).withColumn(_N, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
-    return rows.where(free).unionByName(ranked.where(f"{_N} = 1").drop(_N))
-
-
 def insert(table: DataFrame, rows: DataFrame, defaults: dict[str, object] | None = None) -> DataFrame:
     return table.unionByName(with_defaults(rows, table, defaults))
 
 
-def insert_ignore(table: DataFrame, rows: DataFrame, keys: list[list[str]], order: list[str], defaults: dict[str, object] | None = None) -> DataFrame:
-    """Insert the rows that break no unique key; of rows that conflict among themselves the first in ``order``."""
-    new = with_defaults(rows, table, defaults)
+def _free_of(rows: DataFrame, taken: DataFrame, keys: list[list[str]]) -> DataFrame:
+    """``rows`` that share no key with a row of ``taken``; NULL in a key is shared with none."""
     for key in keys:
-        new = _first_of_key(new.join(table.select(*key).dropna(), key, "left_anti").select(*table.columns), key, order)
-    return table.unionByName(new)
+        rows = rows.join(taken.select(*key).dropna().distinct(), key, "left_anti").select(*rows.columns)
+    return rows
 
 
-def upsert(table: DataFrame, rows: DataFrame, key: list[str], updates: dict[str, Column]) -> DataFrame:
+def insert_ignore(table: DataFrame, rows: DataFrame, keys: list[list[str]], order: list[str], defaults: dict[str, object] | None = None) -> DataFrame:
+    """Insert ``rows`` in ``order``, leaving out those that share a unique key with the table or a row inserted before.
+
+    Rounds: rows that are the first of all their keys go in, rows that share a key with them go out. One
+    round settles a single key; more follow only where a row waits for one that goes out itself.
+    """
+    left = _numbered(_free_of(with_defaults(rows, table, defaults), table, keys), order)
+    out = table
+    while not left.isEmpty():
+        leads = left
+        for i, key in enumerate(keys):
+            firsts = left.dropna(subset=key).groupBy(*key).agg(F.min(_N).alias(f"__first{i}"))
+            leads = leads.join(firsts, key, "left").where(F.col(f"__first{i}").isNull() | (F.col(f"__first{i}") == F.col(_N))).select(*left.columns)
+        leads = cut(leads)
+        out = out.unionByName(leads.drop(_N))
+        left = cut(_free_of(left.join(leads.select(_N), _N, "left_anti").select(*left.columns), leads, keys))
+    return out
+
+
+def upsert(table: DataFrame, rows: DataFrame, key: list[str], updates: dict[str, Column], order: list[str] | None = None) -> DataFrame:
     """INSERT ... ON DUPLICATE KEY UPDATE on one unique key.
 
     ``updates`` gives new values from ``F.col("old.x")``, the row as it is, and ``F.col("new.x")``, the
-    one that was to be inserted. ``rows`` has each key once.
+    one that was to be inserted. Where ``rows`` has a key several times they need an ``order``, and
+    the later ones change what the earlier ones left: a round for each repeat, on the repeated keys only.
     """
     new = with_defaults(rows, table)
+    again = duplicates(new, key)
+    if again.isEmpty():
+        return _upserted(table, new, key, updates)
+    if not order:
+        raise ValueError("a key is given twice; upsert needs an order")
+    numbered = _numbered(new, order)
+    numbered = cut(numbered.withColumn("__turn", F.row_number().over(Window.partitionBy(*key).orderBy(_N))))
+    out = _upserted(table, numbered.where("__turn = 1").select(*table.columns), key, updates)
+    many = cut(again.select(*key))
+    changed = cut(out.join(many, key, "left_semi").select(*table.columns))
+    for turn in range(2, numbered.agg(F.max("__turn")).first()[0] + 1):
+        changed = cut(_upserted(changed, numbered.where(F.col("__turn") == turn).select(*table.columns), key, updates))
+    return out.join(many, key, "left_anti").select(*table.columns).unionByName(changed)
+
+
+def _upserted(table: DataFrame, new: DataFrame, key: list[str], updates: dict[str, Column]) -> DataFrame:
     fresh = new.join(table.select(*key), key, "left_anti").select(*table.columns)
     match = reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key])
     met = F.col(f"new.{key[0]}").isNotNull()
@@ -79,13 +117,22 @@ def upsert(table: DataFrame, rows: DataFrame, key: list[str], updates: dict[str,
     return kept.unionByName(fresh)
 
 
-def replace(table: DataFrame, rows: DataFrame, keys: list[list[str]]) -> DataFrame:
-    """REPLACE: rows that share any unique key with a new row go, then the new ones come."""
+def replace(table: DataFrame, rows: DataFrame, keys: list[list[str]], order: list[str] | None = None) -> DataFrame:
+    """REPLACE: rows that share any unique key with a new row go, then the new ones come.
+
+    Where new rows share keys they need an ``order``; a row stays if no later one shares a key with it.
+    """
     new = with_defaults(rows, table)
-    rest = table
-    for key in keys:
-        rest = rest.join(new.select(*key).dropna(), key, "left_anti").select(*table.columns)
-    return rest.unionByName(new)
+    out = _free_of(table, new, keys)
+    if all(duplicates(new, key).isEmpty() for key in keys):
+        return out.unionByName(new)
+    if not order:
+        raise ValueError("a key is given twice; replace needs an order")
+    left = numbered = _numbered(new, order)
+    for i, key in enumerate(keys):
+        lasts = numbered.dropna(subset=key).groupBy(*key).agg(F.max(_N).alias(f"__last{i}"))
+        left = left.join(lasts, key, "left").where(F.col(f"__last{i}").isNull() | (F.col(f"__last{i}") == F.col(_N))).select(*numbered.columns)
+    return out.unionByName(left.drop(_N))
 
 
 def _chosen(table: DataFrame, where: Column | None, key: list[str], order: list[Column], limit: int | None) -> DataFrame:

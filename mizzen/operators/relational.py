@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.coercion import as_text
+
 
 def ordered(df: DataFrame, *keys: str) -> DataFrame:
     """Sort by columns, a leading ``-`` for descending: NULL is first ascending and last descending."""
@@ -23,8 +25,39 @@ def found_rows(df: DataFrame) -> int:
     return df.count()
 
 
+def page_and_found(df: DataFrame, keys: list[str], n: int, skip: int = 0) -> DataFrame:
+    """A page of the sorted rows with ``found``, how many rows there are without the limit."""
+    return ordered(page(df, keys, n, skip).crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("found")))), *keys)
+
+
+def in_rows(df: DataFrame, column: str, others: DataFrame, other: str) -> DataFrame:
+    """Rows of ``df`` WHERE column IN (SELECT other FROM others)."""
+    known = others.select(F.col(other).alias(column))
+    return df.join(known, column, "left_semi").select(*df.columns)
+
+
+def not_in_rows(df: DataFrame, column: str, others: DataFrame, other: str) -> DataFrame:
+    """Rows of ``df`` WHERE column NOT IN (SELECT other FROM others).
+
+    A NULL among the others leaves nothing, a NULL in ``column`` is kept only if there are no others; one row
+    of counts tells which it is, and a plain anti join of the keys does the rest.
+    """
+    counts = others.agg(F.count(F.lit(1)).alias("__all"), F.count(other).alias("__known"))
+    open_ = (F.col("__all") == 0) | ((F.col("__all") == F.col("__known")) & F.col(column).isNotNull())
+    known = others.select(F.col(other).alias(column)).dropna()
+    return df.crossJoin(F.broadcast(counts)).where(open_).select(*df.columns).join(known, column, "left_anti").select(*df.columns)
+
+
+def one_row(spark: SparkSession, **values: DataFrame) -> DataFrame:
+    """SELECT without FROM: one row of scalar subqueries, each a frame of one row and one column."""
+    out = spark.range(1).select()
+    for name, frame in values.items():
+        out = out.crossJoin(F.broadcast(frame.toDF(name)))
+    return out
+
+
 def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """UNION ALL by position; where numbers meet texts, the numbers become texts."""
+    """UNION ALL by position; where numbers meet texts, the numbers become texts, and booleans 1 or 0."""
     frames = [first, *others]
     names = first.columns
     if any(len(f.columns) != len(names) for f in frames):
@@ -34,7 +67,7 @@ def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
 
     def aligned(f: DataFrame) -> DataFrame:
         plain = f.toDF(*[f"c{i}" for i in range(len(names))])
-        return plain.select(*[(F.col(f"c{i}").cast("string") if texts[i] else F.col(f"c{i}")).alias(n) for i, n in enumerate(names)])
+        return plain.select(*[(as_text(plain, f"c{i}") if texts[i] else F.col(f"c{i}")).alias(n) for i, n in enumerate(names)])
 
     out = aligned(frames[0])
     for f in frames[1:]:

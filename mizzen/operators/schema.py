@@ -59,6 +59,11 @@ def widens(old: T.DataType, new: T.DataType) -> bool:
     return old == new
 
 
+def declared_json(df: DataFrame, name: str) -> DataFrame:
+    """Mark a text column as JSON: its spelling is kept and it can't be compared."""
+    return df.withColumn(name, F.col(name).alias(name, metadata={"declared": "json"}))
+
+
 def add_column(df: DataFrame, name: str, declared: str, default=None) -> DataFrame:
     if name.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {name} exists")

@@ -17,7 +17,7 @@ from ..functions import texts as tx
 from ..operators import changes as ch
 from ..operators import relational as re_
 from ..operators import schema as sc
-from ..sources import archive
+from ..sources import archive, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -85,14 +85,25 @@ def join_using(s, d):
 
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000) AND c_acctbal > 0")
 def semi_exists(s, d):
-    rich = _t(s, d, "orders").where("o_totalprice > 100000").select(F.col("o_custkey").alias("c_custkey"))
-    return _t(s, d, "customer").where("c_acctbal > 0").join(rich, "c_custkey", "left_semi").select("c_custkey")
+    rich = _t(s, d, "orders").where("o_totalprice > 100000")
+    return re_.in_rows(_t(s, d, "customer").where("c_acctbal > 0"), "c_custkey", rich, "o_custkey").select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def anti_not_in(s, d):
-    o = _t(s, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return _t(s, d, "customer").join(o, "c_custkey", "left_anti").select("c_custkey")
+    rich = _t(s, d, "orders").where("o_totalprice > 300000")
+    return re_.not_in_rows(_t(s, d, "customer"), "c_custkey", rich, "o_custkey").select("c_custkey")
+
+
+@query("""SELECT 'null among them' AS kind, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT nullif(o_custkey, 4) FROM orders WHERE o_totalprice > 300000 UNION ALL SELECT NULL)
+UNION ALL SELECT 'null asked', c_custkey FROM (SELECT nullif(c_custkey, 2) AS c_custkey FROM customer) WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+UNION ALL SELECT 'none', c_custkey FROM (SELECT nullif(c_custkey, 2) AS c_custkey FROM customer) WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice < 0)""")
+def anti_not_in_null(s, d):
+    c, o = _t(s, d, "customer").select("c_custkey"), _t(s, d, "orders")
+    rich, asked = o.where("o_totalprice > 300000"), c.select(F.nullif("c_custkey", F.lit(2)).alias("c_custkey"))
+    some = rich.select(F.nullif("o_custkey", F.lit(4)).alias("o_custkey")).unionByName(o.agg(F.lit(None).cast("bigint").alias("o_custkey")))
+    found = {"null among them": (c, some), "null asked": (asked, rich), "none": (asked, o.where("o_totalprice < 0"))}
+    return re_.union_all(*[re_.not_in_rows(x, "c_custkey", y, "o_custkey").select(F.lit(k).alias("kind"), "c_custkey") for k, (x, y) in found.items()])
 
 
 @query("""SELECT o_orderkey FROM orders o WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders i WHERE i.o_custkey = o.o_custkey)""")
@@ -122,7 +133,7 @@ def numeric_prefix(s, d):
 
 @query("SELECT count(*) AS n FROM part WHERE regexp_matches(p_name, '^[A-Z]') OR p_name ILIKE '%a%'")
 def text_search(s, d):
-    return _t(s, d, "part").where(co.regexp(F.col("p_name"), "^[A-Z]") | co.like(F.col("p_name"), "%A%")).agg(F.count(F.lit(1)).alias("n"))
+    return _t(s, d, "part").where(F.col("p_name").rlike("^[A-Z]") | co.like(F.col("p_name"), "%A%")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT p_partkey, p_type FROM part WHERE p_type LIKE '%S%' AND encode(p_name) > encode('m')")
@@ -143,10 +154,10 @@ def logic(s, d):
     big = co.truth(co.compare(e, "value", ">", 50), co.T.BooleanType())
     return e.select(
         "event_id",
-        co.xor(big, nu.modulo(F.col("user_id"), F.lit(2)) == 1).alias("either"),
+        co.xor(e, big, nu.modulo(e, "user_id", 2)).alias("either"),
         co.is_true(big, co.T.BooleanType()).alias("big"),
         co.compare(e, "value", "<=>", None).alias("missing"),
-        co.field(F.col("event_type"), F.lit("click"), F.lit("view"), F.lit("purchase")).alias("place"),
+        co.field(e, "event_type", "click", "view", "purchase").alias("place"),
     )
 
 
@@ -158,31 +169,26 @@ trunc(l_extendedprice / nullif(l_linenumber - 1, 0))::DOUBLE AS whole, (l_orderk
 def arithmetic(s, d):
     c = F.col
     less = c("l_linenumber") - 1
-    return _t(s, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", nu.divide(c("l_quantity"), less).alias("ratio"), nu.modulo(c("l_orderkey"), less.cast("bigint")).cast("double").alias("rest"), nu.int_divide(c("l_extendedprice"), less).cast("double").alias("whole"),
-        nu.bits_or(c("l_orderkey"), c("l_linenumber")).alias("bits"), nu.bits_and(c("l_orderkey"), F.lit(7)).alias("low"), nu.bits_xor(c("l_orderkey"), F.lit(5)).alias("flipped"), nu.signed(c("l_extendedprice")).alias("price"),
+    t = _t(s, d, "lineitem")
+    return t.select(
+        "l_orderkey", "l_linenumber", nu.divide(t, "l_quantity", less).alias("ratio"), nu.modulo(t, "l_orderkey", less.cast("bigint")).cast("double").alias("rest"), nu.int_divide(t, "l_extendedprice", less).cast("double").alias("whole"),
+        nu.bits_or(t, "l_orderkey", "l_linenumber").alias("bits"), nu.bits_and(t, "l_orderkey", 7).alias("low"), nu.bits_xor(t, "l_orderkey", 5).alias("flipped"), nu.signed(t, "l_extendedprice").alias("price"),
     )
 
 
 @query("""SELECT doc_id, strlen(text) AS bytes, length(text) AS chars, md5(text) AS digest, left(text, 10) AS head, right(text, 5) AS tail, substring(text, 3, 4) AS mid,
 CASE WHEN length(text) >= 3 THEN right(text, 3) ELSE '' END AS back, concat_ws('-', lang, NULL, source) AS tag, upper(lang) || ':' || source AS label, coalesce(lang, '?') AS lang2, nullif(lang, 'en') AS other, greatest(lang, source) AS high, least(lang, source) AS low,
-reverse(source) AS back_source, replace(source, 'src', 'S') AS short, trim('  ' || lang || ' ') AS trimmed FROM documents""")
+reverse(source) AS back_source, replace(source, 'src', 'S') AS short, trim('  ' || lang || ' ') AS trimmed, source || ' ' AS left_trimmed, ' ' || source AS right_trimmed, lower(source) AS small FROM documents""")
 def text_functions(s, d):
-    c = F.col
-    return _t(s, d, "documents").select(
-        "doc_id", tx.length(c("text")).cast("bigint").alias("bytes"), F.char_length("text").cast("bigint").alias("chars"), F.md5("text").alias("digest"), F.left(c("text"), F.lit(10)).alias("head"), F.right(c("text"), F.lit(5)).alias("tail"), tx.substring(c("text"), 3, 4).alias("mid"), tx.substring(c("text"), -3).alias("back"),
-        F.concat_ws("-", "lang", F.lit(None), "source").alias("tag"), tx.concat(F.upper("lang"), F.lit(":"), c("source")).alias("label"), F.coalesce("lang", F.lit("?")).alias("lang2"), F.nullif(c("lang"), F.lit("en")).alias("other"),
-        F.greatest("lang", "source").alias("high"), F.least("lang", "source").alias("low"), F.reverse("source").alias("back_source"), F.replace(c("source"), F.lit("src"), F.lit("S")).alias("short"), F.trim(tx.concat(F.lit("  "), c("lang"), F.lit(" "))).alias("trimmed"),
+    c, t = F.col, _t(s, d, "documents")
+    return t.select(
+        "doc_id", F.octet_length("text").cast("bigint").alias("bytes"), F.char_length("text").cast("bigint").alias("chars"), F.md5("text").alias("digest"), F.left(c("text"), F.lit(10)).alias("head"), F.right(c("text"), F.lit(5)).alias("tail"), tx.substring(c("text"), 3, 4).alias("mid"), tx.substring(c("text"), -3).alias("back"),
+        F.concat_ws("-", "lang", F.lit(None), "source").alias("tag"), tx.concat(t, F.upper("lang"), F.lit(":"), "source").alias("label"), F.coalesce("lang", F.lit("?")).alias("lang2"), F.nullif(c("lang"), F.lit("en")).alias("other"),
+        F.greatest("lang", "source").alias("high"), F.least("lang", "source").alias("low"), F.reverse("source").alias("back_source"), F.replace(c("source"), F.lit("src"), F.lit("S")).alias("short"), F.trim(tx.concat(t, F.lit("  "), "lang", F.lit(" "))).alias("trimmed"),
+        F.ltrim(F.concat(F.lit(" "), "source", F.lit(" "))).alias("left_trimmed"), F.rtrim(F.concat(F.lit(" "), "source", F.lit(" "))).alias("right_trimmed"), F.lower(F.upper("source")).alias("small"),
     )
 
 
-@query("SELECT doc_id, text AS back, text LIKE '%' || chr(10) || '%' AS several FROM documents")
-def envelope_round_trip(s, d):
-    t = _t(s, d, "documents")
-    risky = F.concat(F.lit(tx.ENVELOPE), "text")
-    return t.select("doc_id", F.substring(tx.decode(tx.encode(risky)), len(tx.ENVELOPE) + 1, 2**31 - 1).alias("back"), F.col("text").contains("\n").alias("several"))
-
-
 @query("""SELECT o_orderkey, year(o_orderdate)::INT AS y, month(o_orderdate)::INT AS m, day(o_orderdate)::INT AS d, dayofyear(o_orderdate)::INT AS doy, (dayofweek(o_orderdate) + 1)::INT AS dow, (isodow(o_orderdate) - 1)::INT AS wd,
 strftime(o_orderdate, '%Y/%m/%d %H:%M:%S') AS text, epoch(o_orderdate)::DOUBLE AS unix FROM orders""")
 def calendar_parts(s, d):
@@ -212,8 +218,8 @@ def aggregates(s, d):
     t = _t(s, d, "lineitem")
     q = F.col("l_quantity")
     return t.where(co.compare(t, "l_shipdate", "<=", "1998-09-02")).groupBy("l_returnflag", "l_linestatus").agg(
-        F.sum(q).alias("sum_qty"), F.round(F.avg("l_extendedprice"), 4).alias("avg_price"), F.min("l_discount").alias("low"), F.max("l_tax").alias("high"), F.count(F.lit(1)).alias("n"), F.countDistinct("l_suppkey").alias("suppliers"),
-        F.round(nu.std(q), 6).alias("std_qty"), F.round(F.stddev_samp(q), 6).alias("sd"), F.round(nu.variance(q), 4).alias("variance"), F.round(F.var_samp(q), 4).alias("vs"),
+        nu.total(t, q).alias("sum_qty"), F.round(nu.mean(t, "l_extendedprice"), 4).alias("avg_price"), F.min("l_discount").alias("low"), F.max("l_tax").alias("high"), F.count(F.lit(1)).alias("n"), F.countDistinct("l_suppkey").alias("suppliers"),
+        F.round(F.stddev_pop(q), 6).alias("std_qty"), F.round(F.stddev_samp(q), 6).alias("sd"), F.round(F.var_pop(q), 4).alias("variance"), F.round(F.var_samp(q), 4).alias("vs"),
     )
 
 
@@ -265,9 +271,20 @@ def union_all_limited(s, d):
     return re_.union_all(re_.page(c, ["-c_acctbal", "c_custkey"], 7).toDF("k", "v"), re_.page(p, ["-s_acctbal", "s_suppkey"], 5))
 
 
-@query("SELECT count(*) AS found FROM orders WHERE o_orderstatus = 'O'")
+@query("SELECT o_orderkey, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS found FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderkey DESC LIMIT 10 OFFSET 3")
 def found_rows(s, d):
-    return _t(s, d, "orders").where("o_orderstatus = 'O'").agg(F.count(F.lit(1)).alias("found"))
+    return re_.page_and_found(_t(s, d, "orders").where("o_orderstatus = 'O'").select("o_orderkey"), ["-o_orderkey"], 10, 3)
+
+
+@query("SELECT (SELECT count(*) FROM orders) AS orders, (SELECT max(s_acctbal) FROM supplier) AS richest, (SELECT r_name FROM region WHERE r_regionkey = 3) AS region")
+def one_row(s, d):
+    return re_.one_row(s, orders=_t(s, d, "orders").agg(F.count(F.lit(1))), richest=_t(s, d, "supplier").agg(F.max("s_acctbal")), region=_t(s, d, "region").where("r_regionkey = 3").select("r_name"))
+
+
+@query("SELECT CASE WHEN p_size > 25 THEN '1' ELSE '0' END AS v FROM part UNION SELECT p_type FROM part")
+def union_booleans(s, d):
+    p = _t(s, d, "part")
+    return re_.union(p.select((F.col("p_size") > 25).alias("v")), p.select("p_type"))
 
 
 # Row changes
@@ -373,11 +390,12 @@ def table_status(s, d):
     return re_.table_status({n: _t(s, d, n) for n in ("orders", "lineitem", "events")})
 
 
-@query("""SELECT 'p_name' AS "column", count(*) FILTER (p_name IS NULL) AS nulls, count(*) FILTER (contains(p_name, chr(0))) AS nuls, max(strlen(p_name)) AS longest, count(*) FILTER (strlen(p_name) > 20) AS over FROM part
-UNION ALL SELECT '*', 0, 0, max(strlen(p_name) + strlen(p_type)), count(*) FILTER (strlen(p_name) + strlen(p_type) > 40) FROM part
-UNION ALL SELECT 'p_type', count(*) FILTER (p_type IS NULL), 0, max(strlen(p_type)), count(*) FILTER (strlen(p_type) > 20) FROM part""")
+@query("""WITH t AS (SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_brand, p_type, p_size::VARCHAR AS p_size, p_retailprice::VARCHAR AS p_retailprice FROM part),
+u AS (UNPIVOT (SELECT row_number() OVER () AS k, * FROM t) ON p_partkey, p_name, p_brand, p_type, p_size, p_retailprice INTO NAME "column" VALUE v)
+SELECT "column", (SELECT count(*) FROM part) - count(*) AS nulls, count(*) FILTER (contains(v, chr(0)))::BIGINT AS nuls, max(strlen(v)) AS longest, count(*) FILTER (strlen(v) > 20) AS over FROM u GROUP BY "column"
+UNION ALL SELECT '*', 0, 0, max(n), count(*) FILTER (n > 40) FROM (SELECT sum(strlen(v))::BIGINT AS n FROM u GROUP BY k)""")
 def archive_preflight(s, d):
-    return archive.preflight(_t(s, d, "part").select("p_name", "p_type"), 20, 40)
+    return archive.preflight(_t(s, d, "part"), 20, 40)
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -392,3 +410,169 @@ def archive_digest(s, d):
     t = _t(s, d, "lineitem")
     both = archive.digest(t).union(archive.digest(t.repartition("l_partkey")))
     return both.groupBy("rows").agg((F.countDistinct("digest") == 1).alias("same"))
+
+
+@query("SELECT * FROM orders")
+def export_restore(s, d):
+    t = _t(s, d, "orders")
+    folder = scratch.new_folder(s)
+    return archive.restore(s, f"{folder}/out", archive.export(t, f"{folder}/out"), f"{folder}/in")
+
+
+# Operands of any type
+
+
+@query("""SELECT p_partkey, try_cast(regexp_extract(p_brand, '[0-9]+') AS DOUBLE) >= p_size AS above, p_size::DOUBLE IS NOT DISTINCT FROM try_cast(regexp_extract(p_brand, '[0-9]+') AS DOUBLE) AS same, (p_size > 20)::INT = p_size % 2 AS flag
+FROM part WHERE try_cast(regexp_extract(p_brand, '[0-9]+') AS DOUBLE) <> p_size - 1""")
+def column_comparison(s, d):
+    p = _t(s, d, "part").withColumn("tail", F.concat(F.substring("p_brand", 7, 9), F.lit(" or so")))
+    wanted = p.where(co.compare(p, "tail", "<>", F.col("p_size") - 1))
+    return wanted.select("p_partkey", co.compare(p, "tail", ">=", F.col("p_size")).alias("above"), co.compare(p, "p_size", "<=>", F.col("tail")).alias("same"), co.compare(p, F.col("p_size") > 20, "=", F.col("p_size") % 2).alias("flag"))
+
+
+@query("""SELECT o_orderkey, o_orderdate >= ('1997-0' || left(o_orderpriority, 1) || '-01')::TIMESTAMP AS later, month(o_orderdate) <= 6 AS early FROM orders WHERE month(o_orderdate) IN (2, 3, 7, 11)""")
+def time_comparison(s, d):
+    o = _t(s, d, "orders")
+    month, text = cal.date_format(F.col("o_orderdate"), "%m"), F.concat(F.lit("1997-0"), F.left("o_orderpriority", F.lit(1)), F.lit("-01"))
+    return o.where(co.within(o, month, [2, 3, 7, 11])).select("o_orderkey", co.compare(o, "o_orderdate", ">=", text).alias("later"), co.compare(o, month, "<=", 6).alias("early"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' OR c_mktsegment = 'MACHINERY'")
+def same_text_any_case(s, d):
+    lower = F.lower("c_mktsegment")
+    return _t(s, d, "customer").where(co.same_text(lower, F.lit("Building"), ignore_case=True) | co.same_text(F.upper(lower), F.lit("MACHINERY"))).select("c_custkey")
+
+
+@query("""SELECT p_partkey, p_size <> 7 AND no <> 3 AS every, p_size <> 7 OR no <> 3 AS some, no = 3 AS nothing, (p_size <> 7) <> (no <> 3) AS one, CASE WHEN no <> 3 THEN p_size::VARCHAR ELSE 'three' END AS chosen,
+CASE WHEN p_size <> 7 AND no > 20 THEN 'many' WHEN no <> 3 THEN '1' ELSE '0' END AS ranked, CASE WHEN no = 3 THEN 30 WHEN no = 4 THEN 40 END AS simple, CASE WHEN no = p_size THEN 1 WHEN no = 3 THEN 2 ELSE 0 END AS place
+FROM (SELECT *, regexp_extract(p_brand, '[0-9]+')::INT AS no FROM part)""")
+def conditions(s, d):
+    p = _t(s, d, "part").withColumn("no", F.concat(F.substring("p_brand", 7, 9), F.lit(" x")))
+    p = p.withColumn("three", F.when(co.compare(p, "no", "<>", 3), F.col("no")).otherwise("x"))
+    left = F.col("p_size") - 7
+    return p.select(
+        "p_partkey", co.all_of(p, left, "three").alias("every"), co.any_of(p, left, "three").alias("some"), co.none_of(p, "three").alias("nothing"), co.xor(p, left, "three").alias("one"),
+        co.if_(p, "three", "p_size", F.lit("three")).alias("chosen"), co.case(p, (co.all_of(p, left, co.compare(p, "no", ">", 20)), F.lit("many")), ("three", F.lit(True)), otherwise=F.lit(False)).alias("ranked"),
+        co.case_of(p, "no", (3, 30), (4, 40)).alias("simple"), co.field(p, "no", F.col("p_size"), 3).alias("place"),
+    )
+
+
+@query("""SELECT p_partkey, no + p_size AS added, no - 0.5 AS less, no * no AS squared, -no AS turned, no / nullif(p_size - 5, 0) AS ratio, no % 4 AS rest, trunc(no / 4)::BIGINT AS whole, (no::BIGINT | 64) AS bits
+FROM (SELECT *, regexp_extract(p_brand, '[0-9]+')::DOUBLE AS no FROM part)""")
+def text_arithmetic(s, d):
+    p = _t(s, d, "part").withColumn("no", F.concat(F.lit(" "), F.substring("p_brand", 7, 9), F.lit("th")))
+    return p.select(
+        "p_partkey", nu.plus(p, "no", "p_size").alias("added"), nu.minus(p, "no", 0.5).alias("less"), nu.times(p, "no", "no").alias("squared"), nu.negative(p, "no").alias("turned"), nu.divide(p, "no", F.col("p_size") - 5).alias("ratio"),
+        nu.modulo(p, "no", 4).alias("rest"), nu.int_divide(p, "no", 4).alias("whole"), nu.bits_or(p, "no", 64).alias("bits"),
+    )
+
+
+@query("""SELECT o_orderkey, (9007199254740993 + o_orderkey) // 7 AS whole, -((9007199254740993 + o_orderkey) // 2) AS below, (n // 10000)::VARCHAR || '.' || lpad((n % 10000)::VARCHAR, 4, '0') AS exact
+FROM (SELECT *, ((o_orderkey + 1) * 20000 + 7) // 14 AS n FROM orders)""")
+def exact_division(s, d):
+    o = _t(s, d, "orders")
+    large = F.col("o_orderkey") + F.lit(9007199254740993)
+    return o.select("o_orderkey", nu.int_divide(o, large, 7).alias("whole"), nu.int_divide(o, -large, 2).alias("below"), nu.divide(o, F.col("o_orderkey") + 1, 7).cast("string").alias("exact"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_orderkey << 3 AS up, l_orderkey >> 2 AS down, -l_orderkey - 1 AS turned, 0::BIGINT AS gone FROM lineitem")
+def bit_shifts(s, d):
+    t = _t(s, d, "lineitem")
+    return t.select("l_orderkey", "l_linenumber", nu.shift_left(t, "l_orderkey", 3).alias("up"), nu.shift_right(t, "l_orderkey", 2).alias("down"), nu.bits_not(t, "l_orderkey").alias("turned"), nu.shift_left(t, "l_orderkey", 64).alias("gone"))
+
+
+@query("SELECT c_custkey, abs(c_acctbal) AS size, ceil(c_acctbal)::BIGINT AS up, floor(c_acctbal)::BIGINT AS down, round(c_acctbal)::BIGINT AS near FROM customer")
+def number_functions(s, d):
+    return _t(s, d, "customer").select("c_custkey", F.abs("c_acctbal").alias("size"), F.ceil("c_acctbal").alias("up"), F.floor("c_acctbal").alias("down"), F.round("c_acctbal").cast("bigint").alias("near"))
+
+
+@query("""SELECT p_type, sum(no) AS total, sum(DISTINCT no) AS total_distinct, round(avg(no), 6) AS mean, round(avg(DISTINCT no), 6) AS mean_distinct, count(*) FILTER (p_size > 20) AS large
+FROM (SELECT *, regexp_extract(p_brand, '[0-9]+')::DOUBLE AS no FROM part) GROUP BY p_type""")
+def text_sums(s, d):
+    p = _t(s, d, "part").withColumn("no", F.concat(F.substring("p_brand", 7, 9), F.lit("th")))
+    sums = [nu.total(p, "no").alias("total"), nu.total(p, "no", distinct=True).alias("total_distinct"), F.round(nu.mean(p, "no"), 6).alias("mean"), F.round(nu.mean(p, "no", distinct=True), 6).alias("mean_distinct")]
+    return p.groupBy("p_type").agg(*sums, nu.total(p, F.col("p_size") > 20).alias("large"))
+
+
+@query("SELECT r_name, string_agg(n_name, '; ' ORDER BY n_nationkey DESC) AS nations FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
+def group_concat_by(s, d):
+    j = _t(s, d, "region").join(_t(s, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return j.groupBy("r_name").agg(tx.group_concat(F.col("n_name"), "; ", descending=True, by=F.col("n_nationkey")).alias("nations"))
+
+
+@query("""SELECT event_id, (value > 50)::INT::VARCHAR AS flag, NULL::DATE AS no_date, ts::DATE AS day, date_trunc('second', ts) AS whole, strftime(ts, '%H:%M:%S') AS clock, NULL::VARCHAR AS no_clock, printf('%.2f', value) AS amount, value AS number,
+user_id AS signed, user_id::DECIMAL(20, 0)::VARCHAR AS unsigned, props AS json, NULL::VARCHAR AS no_json, ts::DATE AS day_digits FROM events""")
+def casts(s, d):
+    e = _t(s, d, "events")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return e.select(
+        "event_id", nu.as_char(e, F.col("value") > 50).alias("flag"), nu.as_date(e, "event_type").alias("no_date"), nu.as_date(e, text).alias("day"), nu.as_datetime(e, text).alias("whole"), nu.as_time(e, text).alias("clock"), nu.as_time(e, "event_type").alias("no_clock"),
+        nu.as_decimal(e, F.concat("value", F.lit(" EUR")), 12, 2).cast("string").alias("amount"), nu.as_double(e, F.concat("value", F.lit(" EUR"))).alias("number"), nu.signed(e, F.concat("user_id", F.lit(".2x"))).alias("signed"),
+        nu.unsigned(e, F.concat("user_id", F.lit("u"))).cast("string").alias("unsigned"), nu.as_json(e, "props").alias("json"), nu.as_json(e, "event_type").alias("no_json"), nu.as_date(e, F.date_format("ts", "yyyyMMdd").cast("int")).alias("day_digits"),
+    )
+
+
+# Calendar, continued
+
+
+@query("SELECT event_id, hour(ts)::INT AS h, minute(ts)::INT AS m, second(ts)::INT AS s, epoch(ts)::DOUBLE AS unix FROM events")
+def clock_parts(s, d):
+    c = F.col("ts")
+    return _t(s, d, "events").select("event_id", cal.hour(c).alias("h"), cal.minute(c).alias("m"), cal.second(c).alias("s"), cal.unix_timestamp(c).alias("unix"))
+
+
+@query("""SELECT event_id, strftime(ts, '%a %b %-m %-d %f %I %j %-H %-I %B %p %I:%M:%S %p %S %H:%M:%S %A %w %y 100%%') AS long,
+day(ts) || CASE WHEN day(ts) BETWEEN 11 AND 13 THEN 'th' WHEN day(ts) % 10 = 1 THEN 'st' WHEN day(ts) % 10 = 2 THEN 'nd' WHEN day(ts) % 10 = 3 THEN 'rd' ELSE 'th' END AS ordinal, strftime(ts, '%U %W') AS weeks, strftime(ts, '%V %G') AS iso FROM events""")
+def date_formats(s, d):
+    c = F.col("ts")
+    return _t(s, d, "events").select("event_id", cal.date_format(c, "%a %b %c %e %f %h %j %k %l %M %p %r %s %T %W %w %y 100%%").alias("long"), cal.date_format(c, "%D").alias("ordinal"), F.concat(cal.date_format(c, "%U "), F.lpad(cal.week(c, 5).cast("string"), 2, "0")).alias("weeks"), cal.date_format(c, "%v %x").alias("iso"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE year(o_orderdate) END::INT AS y, CASE WHEN o_orderkey % 3 > 0 THEN dayofyear(o_orderdate) END::INT AS doy, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE epoch(o_orderdate) END::DOUBLE AS unix,
+CASE WHEN o_orderkey % 3 = 0 THEN '0000-00-00' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS text, CASE WHEN o_orderkey % 3 > 0 THEN o_orderdate + INTERVAL 1 DAY END AS next FROM orders""")
+def zero_dates(s, d):
+    o = _t(s, d, "orders")
+    t = o.withColumn("day", co.if_(o, F.col("o_orderkey") % 3, "o_orderdate", F.lit(co.ZERO_DATE).cast("timestamp_ntz")))
+    c = F.col("day")
+    return t.select("o_orderkey", cal.year(c).alias("y"), cal.day_of_year(c).alias("doy"), cal.unix_timestamp(c).alias("unix"), cal.date_format(c, "%Y-%m-%d").alias("text"), cal.add(c, F.lit(1), "day").alias("next"))
+
+
+@query("SELECT count(*) AS n, count(*) AS days, count(*) AS utc, count(*) AS later, count(*) AS drawn FROM events")
+def until_now(s, d):
+    e, c = _t(s, d, "events").withColumn("drawn", F.rand()), F.col("ts")
+    count = lambda x: F.count(F.when(x, 1))
+    clocks = F.length(cal.time_of_day()) + F.length(cal.utc_time_of_day()) == 16
+    return e.agg(count(c <= cal.now()).alias("n"), count((c <= cal.today()) & (c <= cal.utc_today())).alias("days"), count((c <= cal.utc_now()) & clocks).alias("utc"), count(cal.add(c, F.lit(1), "day") < cal.now()).alias("later"), count(F.col("drawn") < 1).alias("drawn"))
+
+
+# Row changes whose rows conflict with one another
+
+
+# Rows in sixes, each sharing one name or the other with the next: those at even places go in.
+@query("""SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier UNION ALL SELECT NULL, 'a' || (s_suppkey // 6 * 10 + s_suppkey % 6 // 2), (1000 + s_suppkey // 6 * 10 + (s_suppkey % 6 + 1) // 2)::INT, s_acctbal FROM supplier WHERE s_suppkey % 6 % 2 = 0""")
+def change_insert_ignore_keys(s, d):
+    t = _t(s, d, "supplier")
+    block, place = F.floor(F.col("s_suppkey") / 6) * 10, F.col("s_suppkey") % 6
+    # The table's own nations repeat, but no new row has one of them.
+    new = t.select(F.lit(None).cast("bigint").alias("s_suppkey"), F.concat(F.lit("a"), (block + F.floor(place / 2)).cast("string")).alias("s_name"), (1000 + block + F.floor((place + 1) / 2)).cast("int").alias("s_nationkey"), "s_acctbal", F.col("s_suppkey").alias("turn"))
+    wide = t.withColumn("turn", F.lit(-1).cast("bigint"))
+    return ch.insert_ignore(wide, new, [["s_suppkey"], ["s_name"], ["s_nationkey"]], ["turn"]).drop("turn")
+
+
+@query("""SELECT r_regionkey, r_name || '+' || (SELECT string_agg(n_name, '+' ORDER BY n_nationkey) FROM nation WHERE n_regionkey = r_regionkey) AS r_name FROM region
+UNION ALL SELECT 100, 'first+' || string_agg(n_name, '+' ORDER BY n_nationkey) FILTER (n_nationkey <> 3) FROM nation WHERE n_nationkey BETWEEN 3 AND 6""")
+def change_upsert_repeated(s, d):
+    r, n = _t(s, d, "region"), _t(s, d, "nation")
+    far = n.where("n_nationkey BETWEEN 3 AND 6").select(F.lit(100).alias("r_regionkey"), F.when(F.col("n_nationkey") == 3, "first").otherwise(F.col("n_name")).alias("r_name"), (F.col("n_nationkey") + 1000).alias("turn"))
+    rows = n.select(F.col("n_regionkey").alias("r_regionkey"), F.col("n_name").alias("r_name"), F.col("n_nationkey").alias("turn")).unionByName(far)
+    wide = r.withColumn("turn", F.lit(-1))
+    return ch.upsert(wide, rows, ["r_regionkey"], {"r_name": F.concat("old.r_name", F.lit("+"), "new.r_name")}, order=["turn"]).drop("turn")
+
+
+@query("""WITH new AS (SELECT s_nationkey AS n_nationkey, 'S' || s_suppkey % 40 AS n_name, (s_suppkey % 7)::INT AS n_regionkey, s_suppkey FROM supplier)
+SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_nationkey NOT IN (SELECT n_nationkey FROM new) AND n_name NOT IN (SELECT n_name FROM new)
+UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM (SELECT *, max(s_suppkey) OVER (PARTITION BY n_nationkey) AS a, max(s_suppkey) OVER (PARTITION BY n_name) AS b FROM new) WHERE s_suppkey = a AND s_suppkey = b""")
+def change_replace_repeated(s, d):
+    n = _t(s, d, "nation").withColumn("turn", F.lit(-1).cast("bigint"))
+    rows = _t(s, d, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), F.concat(F.lit("S"), (F.col("s_suppkey") % 40).cast("string")).alias("n_name"), (F.col("s_suppkey") % 7).cast("int").alias("n_regionkey"), F.col("s_suppkey").alias("turn"))
+    return ch.replace(n, rows, [["n_nationkey"], ["n_name"]], order=["turn"]).drop("turn")

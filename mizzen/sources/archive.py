@@ -1,7 +1,7 @@
 """Export, inspect, restore and verify tables: gzipped JSON lines of base64 cells, with digests.
 
 Every step is a distributed job: rows are encoded and hashed where they are. A table's digest doesn't
-depend on the order of its rows: the row hashes' sum, as an exact decimal, and their number.
+depend on the order of its rows: exact sums of 128 bits of each row's hash, and the number of rows.
 """
 
 from __future__ import annotations
@@ -26,18 +26,31 @@ def encoded(df: DataFrame) -> DataFrame:
 
 def digest(df: DataFrame) -> DataFrame:
     """One row: rows, digest. Equal for equal multisets of rows, in any order and partitioning."""
-    hashed = encoded(df).select(F.conv(F.substring(F.sha2("row", 256), 1, 15), 16, 10).cast("decimal(20,0)").alias("h"))
-    total = F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-    return hashed.agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), total.cast("string")), 256).alias("digest"))
+    hashed = encoded(df).select(F.sha2("row", 256).alias("sha"))
+    words = [F.coalesce(F.sum(F.xxhash64(F.lit(k), "sha").cast("decimal(20,0)").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string") for k in (1, 2)]
+    return hashed.agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *words), 256).alias("digest"))
 
 
 def export(df: DataFrame, path: str) -> dict:
-    """Write ``df`` under ``path`` and give its manifest entry: schema, rows, digest."""
+    """Write ``df`` under ``path`` and give its manifest entry: schema, rows, and the digest of what was written."""
+    unsupported(df.schema)
     encoded(df).select(F.col("row").alias("value")).write.mode("errorifexists").option("compression", "gzip").text(path)
-    found = digest(df).first()
+    found = digest(read(df.sparkSession, path, df.schema)).first()
     return {"schema": df.schema.json(), "rows": found.rows, "digest": found.digest}
 
 
+def unsupported(schema: T.StructType, most_columns: int = 255) -> None:
+    """Raise ValueError for a table that can't be restored: too many columns, clashing names, or types without a text form."""
+    names = [f.name.lower() for f in schema]
+    clashing = sorted({n for n in names if names.count(n) > 1})
+    if clashing or len(names) > most_columns:
+        raise ValueError(f"columns named alike: {', '.join(clashing)}" if clashing else f"more than {most_columns} columns")
+    plain = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.ArrayType, T.MapType, T.StructType)
+    odd = [f.name for f in schema if not isinstance(f.dataType, plain)]
+    if odd:
+        raise ValueError(f"no text form for the type of {', '.join(odd)}")
+
+
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The rows under ``path`` in the types of ``schema``."""
     cells = spark.read.text(path).select(F.from_json("value", "array<string>").alias("cells"))
@@ -56,6 +69,7 @@ def restore(spark: SparkSession, path: str, entry: dict, target: str) -> DataFra
     import json
 
     schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    unsupported(schema)
     read(spark, path, schema).write.mode("errorifexists").parquet(target)
     out = spark.read.parquet(target)
     if not verify(out, entry):
