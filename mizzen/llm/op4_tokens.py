@@ -30,7 +30,7 @@ import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 
-from .text import small_batches
+from .text import portions
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's makers cut text before merging; fixed by the vocabulary.
@@ -92,7 +92,7 @@ def count_tokens(docs: DataFrame, path: str = VOCABULARY, rule: str = "largest")
         raise ValueError(f"the rule is one of {', '.join(RULES)}")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in portions(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 if text is None:
@@ -102,7 +102,6 @@ def count_tokens(docs: DataFrame, path: str = VOCABULARY, rule: str = "largest")
                 out.append((doc_id, int(counts.sum()), counts.size, crossing, counts))
             yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "n_sections", "n_crossing", "section_tokens"]).astype({"doc_id": "Int64"})
 
-    small_batches(docs.sparkSession)
     plain = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
     return plain.mapInPandas(scan, "doc_id bigint, n_tokens bigint, n_sections bigint, n_crossing bigint, section_tokens array<bigint>")
 

@@ -1,4 +1,4 @@
-"""Shared text definitions: what a word is, how shingles are hashed, where intermediate tables go.
+"""Shared text definitions: what a word is, how shingles are hashed, how batches of texts are cut.
 
 A word is a maximal run of characters other than space, tab, line feed, vertical tab, form feed
 and carriage return. ``bytes.split()`` splits on exactly these six, so the Python side and the
@@ -7,12 +7,12 @@ DataFrame side agree on every text.
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\u000b\f\r"
@@ -60,25 +60,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the cluster's checkpoint folder and read from there: computed once, lineage cut.
+def portions(batches: Iterator[pd.DataFrame], chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """Arrow batches cut so that the texts of each portion have about ``chars`` characters, or are one text.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in tests, a
-    local one is made.
+    Bounds what a Python worker builds from a batch at a time; Spark bounds the batch itself in bytes.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
-
-
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound what one Arrow batch of documents holds in a Python worker; a smaller setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) <= 0 or int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, rows)
-
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows, without counting on beyond that."""
-    return df.limit(rows + 1).count() <= rows
+    for batch in batches:
+        size = batch["text"].map(lambda t: len(t) if isinstance(t, str) else 0).to_numpy()
+        group = np.cumsum(size) // chars
+        edges = [0, *(np.flatnonzero(np.diff(group)) + 1), len(batch)]
+        for low, high in zip(edges, edges[1:]):
+            if high > low:
+                yield batch.iloc[low:high].reset_index(drop=True)
