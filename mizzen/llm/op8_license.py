@@ -7,14 +7,19 @@ For each class a text is cut into windows of ``u + step - 1`` shingles, a quarte
 template that runs on lies whole in some window. A template with at least c of its shingles in
 such a window has a Jaccard similarity of at least s with it, where s follows from c, the window's
 length and the least size in the class; the class gets as many bands of one minimum as bring the
-chance of no collision, (1 - s) ** bands, below ``MISS``. Windows that share no shingle with any
-template can't match and are dropped before banding, an exact test. What collides is verified by
-the exact share of the template's shingles in the window.
+chance of no collision, (1 - s) ** bands, below ``MISS``.
+
+A band's minimum of a template is one of its shingles, and a window can only collide in that band if it
+holds this shingle. So the templates' minimal shingles, a table of at most ``bands`` rows a template, are
+looked up among the shingles of all texts first, which loses no collision; bands are then formed only for
+the windows about what was found. What collides is verified by the exact share of the template's
+shingles in the window. Templates are a table of any size: its minima are broadcast when counted to
+be few, else shuffled with the texts' shingles.
 
 Texts are compared in lower case without the characters ``.,;:()"'``.
 
 Defined results: null or empty text matches nothing; a null doc_id is reported with its null;
-repeated rows are each reported; an empty table gives an empty result; other columns are not read.
+repeated rows are reported once; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,9 +29,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut, fits
 from .text import ascii_lower, shingle_hashes, words
 
-#: License statements looked for.
+#: License statements and texts looked for: fixed values, as their authors publish them.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -39,10 +45,32 @@ TEMPLATES = (
     ("MIT-notice", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("Apache-2.0-notice", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
 )
+_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. '
+    "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+#: Whole texts of the licenses that are short enough to be pasted whole.
+TEMPLATES += (
+    ("MIT-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _WARRANTY),
+    ("BSD-2-text", _BSD_2 + _BSD_END),
+    ("BSD-3-text", _BSD_2 + _BSD_3 + _BSD_END),
+    ("GPL-3.0-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+)
 #: Chance that the bands miss a match.
 MISS = 1e-6
-#: Most templates that may be given; their shingles are literals of the plan.
-MOST_TEMPLATES = 200
+#: Minima of templates, candidate texts and bands of templates up to which they are broadcast.
+BROADCAST_ROWS = 200_000
 MARKS = ".,;:()\"'"
 
 
@@ -65,9 +93,14 @@ def _classes(sizes: list[int], percent: int) -> list[tuple[int, int, int, int]]:
 
 
 def _minima(values: Column, bands: Column) -> Column:
-    """The least hash of ``values`` under each of ``bands`` hash functions."""
+    """Of ``values``, the one with the least hash under each of ``bands`` hash functions."""
     seeds = F.sequence(F.lit(1), bands)
-    return F.transform(seeds, lambda k: F.array_min(F.transform(values, lambda h: F.xxhash64(h, k))))
+    return F.transform(seeds, lambda k: F.array_min(F.transform(values, lambda h: F.struct(F.xxhash64(h, k).alias("hash"), h.alias("shingle"))))["shingle"])
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` to be broadcast if it is proven small."""
+    return F.broadcast(df) if fits(df, BROADCAST_ROWS) else df
 
 
 def _starts(upper: int, step: int) -> Column:
@@ -75,33 +108,43 @@ def _starts(upper: int, step: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size("own") - 1, F.lit(step)), lambda p: F.struct(F.lit(upper).alias("upper"), p.alias("place")))
 
 
-def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, size: int = 5, percent: int = 80) -> DataFrame:
+def _sized(whole: DataFrame, percent: int) -> tuple[DataFrame, dict[int, tuple[int, int, int]]]:
+    """Templates with their class ``upper``, and each class's step, window and bands."""
+    upper = F.pow(F.lit(2), F.ceil(F.log2(F.size("shingles")))).cast("int")
+    sized = whole.withColumn("upper", upper)
+    used = [r.upper for r in sized.select("upper").distinct().collect()]  # powers of two: a few rows
+    return sized, {u: rest for u, *rest in _classes(used, percent)}
+
+
+def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] | DataFrame = TEMPLATES, size: int = 5, percent: int = 80) -> DataFrame:
     """Rows (doc_id, template, place, n_shared, n_shingles): the first best window of each template found.
 
-    ``place`` is the word at which the window begins.
+    ``templates`` are pairs or a table (template, text); one of fewer than ``size`` words matches nothing, and
+    texts under one name are alternatives of which the best is reported. ``place`` is the word at which the
+    window begins.
     """
-    if len(templates) > MOST_TEMPLATES:
-        raise ValueError(f"at most {MOST_TEMPLATES} templates")
-    spark = docs.sparkSession
-    given = spark.createDataFrame(list(templates), "template string, text string")
+    given = templates if isinstance(templates, DataFrame) else docs.sparkSession.createDataFrame(list(templates), "template string, text string")
     whole = given.where(F.size(words(F.col("text"))) >= size).select("template", F.array_distinct(_shingles(F.col("text"), size)).alias("shingles"))
-    known = whole.collect()  # as many rows as the caller gave, at most MOST_TEMPLATES
-    every = F.array(*[F.lit(h) for h in sorted({h for r in known for h in r.shingles})]) if known else F.array().cast("array<bigint>")
-    met = docs.select("doc_id", F.xxhash64("text").alias("version"), _shingles(F.col("text"), size).alias("own"))
-    met = met.withColumn("hits", F.array_intersect("own", every)).where(F.size("hits") > 0)
+    sized, classes = _sized(cut(whole.select(F.monotonically_increasing_id().alias("no"), "*")), percent)
+    if not classes:
+        return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, template string, place int, n_shared bigint, n_shingles bigint")
+    width, bands = (F.create_map(*[F.lit(x) for u, c in classes.items() for x in (u, c[k])]) for k in (1, 2))
+    keys = cut(sized.select("no", "upper", F.posexplode(_minima(F.col("shingles"), F.element_at(bands, F.col("upper")))).alias("band", "least")))
+
+    plain = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    probes = plain.select("doc_id", "version", F.explode(F.array_distinct(_shingles(F.col("text"), size))).alias("shingle"))
+    sketch = cut(keys.select(F.col("least").alias("shingle")).distinct())
+    hits = cut(probes.join(_small(sketch), "shingle").groupBy(F.col("doc_id").alias("h_doc"), F.col("version").alias("h_version")).agg(F.collect_set("shingle").alias("hits")))
+    same = F.col("doc_id").eqNullSafe(F.col("h_doc")) & (F.col("version") == F.col("h_version"))
+    met = plain.join(_small(hits), same).select("doc_id", "version", "hits", _shingles(F.col("text"), size).alias("own"))
 
     # All classes in one pass over the text: (class, first shingle) of each window, then its shingles.
-    classes = _classes([len(r.shingles) for r in known], percent)
-    starts = [_starts(upper, step) for upper, step, _, _ in classes]
-    each = F.concat(*starts) if starts else F.array().cast("array<struct<upper:int,place:int>>")
-    width, bands = (F.create_map(*[F.lit(x) for c in classes for x in (c[0], c[k])]) if classes else F.create_map(F.lit(0), F.lit(1)) for k in (2, 3))
-    windows = met.select("doc_id", "version", "own", "hits", F.explode(each).alias("w")).select("doc_id", "version", "own", "hits", "w.upper", "w.place")
+    starts = F.concat(*[_starts(u, c[0]) for u, c in classes.items()])
+    windows = met.select("doc_id", "version", "own", "hits", F.explode(starts).alias("w")).select("doc_id", "version", "own", "hits", "w.upper", "w.place")
     windows = windows.withColumn("part", F.slice("own", F.col("place") + 1, F.element_at(width, F.col("upper")))).where(F.arrays_overlap("part", "hits"))
     banded = windows.select("doc_id", "version", "upper", "place", "part", F.posexplode(_minima(F.col("part"), F.element_at(bands, F.col("upper")))).alias("band", "least"))
-    uppers = F.array(*[F.lit(c[0]) for c in classes]) if classes else F.array().cast("array<int>")
-    sized = whole.withColumn("upper", F.get(F.filter(uppers, lambda u: u >= F.size("shingles")), F.lit(0)))
-    keys = sized.select("template", "shingles", "upper", F.posexplode(_minima(F.col("shingles"), F.element_at(bands, F.col("upper")))).alias("band", "least"))
-    hit = banded.join(F.broadcast(keys), ["upper", "band", "least"]).withColumn("n_shared", F.size(F.array_intersect("part", "shingles")))
+    met_once = banded.join(_small(keys), ["upper", "band", "least"]).groupBy("doc_id", "version", "upper", "place", "no").agg(F.first("part").alias("part"))
+    hit = met_once.join(_small(sized.select("no", "template", "shingles")), "no").withColumn("n_shared", F.size(F.array_intersect("part", "shingles")))
     hit = hit.where(F.col("n_shared") * 100 >= F.size("shingles") * percent)
     found = hit.select("doc_id", "version", "template", "place", "n_shared", F.size("shingles").alias("n_shingles"))
     best = F.max(F.struct("n_shared", (-F.col("place")).alias("at"), "n_shingles")).alias("best")
