@@ -33,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import cut, fits, small_batches
+from ..sources.scratch import cut, fits
+from .text import portions
 
 ORDER = 4
 START, END = 0xFFFE, 0xFFFF
@@ -70,7 +71,7 @@ def run_counts(trusted: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
+        for batch in portions(batches):
             for lang, part in batch.groupby("lang"):
                 keys, n = np.unique(np.concatenate([runs(t) for t in part["text"]]), return_counts=True)
                 held[lang] = _tally([held[lang], (keys, n)]) if lang in held else (keys, n)
@@ -79,7 +80,6 @@ def run_counts(trusted: DataFrame) -> DataFrame:
                 held = {}
         yield from _frames(held)
 
-    small_batches(trusted.sparkSession)
     return trusted.select("lang", "text").mapInPandas(scan, "lang string, g bigint, c bigint").groupBy("lang", "g").agg(F.sum("c").alias("c"))
 
 
@@ -187,7 +187,7 @@ def _score_local(docs: DataFrame, model: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        for batch in batches:
+        for batch in portions(batches):
             value = np.full(len(batch), np.nan)
             langs = batch["lang"].to_numpy()
             for lang in set(langs) & set(model.tables):
@@ -208,7 +208,7 @@ def _score_sharded(docs: DataFrame, model: DataFrame) -> DataFrame:
     """Perplexities by joins of the documents' run counts with a model of any size."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in portions(batches):
             for row, lang, text in zip(batch["row"], batch["lang"], batch["text"]):
                 keys, n = np.unique(runs(text), return_counts=True)
                 yield pd.DataFrame({"row": row, "lang": lang, "g": keys.view(np.int64), "n": n})
@@ -236,12 +236,26 @@ def _folded(text: Column) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(2)).cast("int")
 
 
+def exact_quantile(rows: DataFrame, by: str, value: str, quantile: float) -> DataFrame:
+    """Rows (by, value): of each ``by``, the least positive value that a share of at least ``quantile`` doesn't exceed.
+
+    Distinct values are counted, then counted by slices of a thousandth of an octave, which are few; the
+    slice that holds the wanted place is opened, and only its values are put in order.
+    """
+    tally = cut(rows.groupBy(by, value).agg(F.count(F.lit(1)).alias("n")).withColumn("slice", F.floor(F.log2(value) * 1000)))
+    upto = lambda key: Window.partitionBy(by).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = tally.groupBy(by, "slice").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(upto("slice")))
+    slices = slices.withColumn("wanted", F.ceil(F.sum("n").over(Window.partitionBy(by)) * quantile))
+    opened = slices.where("upto >= wanted AND upto - n < wanted").select(by, "slice", (F.col("wanted") - F.col("upto") + F.col("n")).alias("wanted"))
+    inside = tally.join(opened, [by, "slice"]).withColumn("upto", F.sum("n").over(upto(value)))
+    return inside.where("upto >= wanted AND upto - n < wanted").select(by, value)
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, lang, text): doc_id, lang, perplexity, threshold, kept.
 
     Trusted are the documents that ``labels`` (doc_id, quality, toxic) calls good and not toxic.
     """
-    small_batches(docs.sparkSession)
     good = cut(labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("good_id")).distinct())
     side = F.broadcast(good) if fits(good, BROADCAST_IDS) else good
     plain = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("lang", F.lit("")).alias("lang"), "text")
@@ -259,7 +273,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, broadca
         scored = part if scored is None else scored.unionByName(part)
     scored = scored.select("doc_id", "by", F.substring("lang", 2, 1 << 30).alias("lang"), "perplexity")
     unseen = scored.where(F.col("by") != WHOLE)
-    limits = cut(unseen.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")))
+    limits = cut(exact_quantile(unseen.where("perplexity IS NOT NULL"), "lang", "perplexity", quantile).withColumnRenamed("perplexity", "threshold"))
     out = scored.where(F.col("by") == WHOLE).join(F.broadcast(limits) if fits(limits, BROADCAST_IDS) else limits, "lang", "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("doc_id", "lang", "perplexity", "threshold", kept.alias("kept"))
