@@ -27,15 +27,20 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import cut, fits, let, words
+from ..sources.scratch import cut, fits
+from .text import let, words
 
 WEIGHTS = (5, 2, 1)
 #: Documents in a block, about, until a source has ``MOST_BLOCKS``.
 BLOCK_DOCUMENTS = 128
 MOST_BLOCKS = 65_536
+#: Words in a shard, about, where there are more than ``LEAST_SHARDS`` of them.
+SHARD_WORDS, LEAST_SHARDS = 50_000_000, 16
 #: Sources up to which their table is broadcast.
 BROADCAST_SOURCES = 100_000
 
@@ -128,18 +133,22 @@ def _filled(room: Column, block: list[str]) -> tuple[list[tuple], Column]:
     return steps, taken
 
 
-def mixture(docs: DataFrame, shards: int = 16, most: int = 3, seed: int = 1) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source, text): doc_id, source, size, source_size, target, takes.
+def mixture(docs: DataFrame, shards: int | None = None, most: int = 3, seed: int = 1) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source, text): doc_id, version, source, size, source_size, target, takes.
 
     ``takes`` lists the times the document is taken, as structs of pass, shard and order; a document's
-    words in the mixture are ``size`` times the length of ``takes``.
+    words in the mixture are ``size`` times the length of ``takes``. ``version`` is a hash of the text. The
+    number of ``shards`` follows from the words to be taken unless it is given.
     """
     size = F.size(words(F.col("text"))).cast("bigint")
-    sized = cut(docs.select("doc_id", "source", F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")).alias("draw"), size.alias("size")))
+    version = F.xxhash64("text")
+    sized = cut(docs.select("doc_id", version.alias("version"), "source", F.xxhash64(F.lit(seed), "doc_id", version).alias("draw"), size.alias("size")))
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("bigint")
     n_blocks = F.least(F.ceil(F.col("n") / BLOCK_DOCUMENTS), F.lit(MOST_BLOCKS))
     plan = cut(targets(sources, most=most).withColumn("source_no", number).withColumn("n_blocks", n_blocks).drop("n", "weight"))
+    if shards is None:
+        shards = max(LEAST_SHARDS, ceil((plan.agg(F.sum("target")).first()[0] or 0) / SHARD_WORDS))
     # One row a source, of a few numbers: broadcast if it is proven small.
     of_source = plan.withColumnRenamed("source", "of_source")
     of_source = F.broadcast(of_source) if fits(of_source, BROADCAST_SOURCES) else of_source
@@ -173,15 +182,29 @@ def mixture(docs: DataFrame, shards: int = 16, most: int = 3, seed: int = 1) ->
     mine = F.filter("plans", lambda p: (p["pass"] < F.col("full")) | taken)
     order = lambda p: F.xxhash64(F.lit(seed + 3), F.col("draw"), p["pass"], p["shard"])
     takes = F.transform(mine, lambda p: F.struct(p["pass"].alias("pass"), p["shard"].alias("shard"), order(p).alias("order")))
-    return rows.select("doc_id", "source", "size", "source_size", "target", takes.alias("takes"))
+    return rows.select("doc_id", "version", "source", "size", "source_size", "target", takes.alias("takes"))
+
 
+def shuffled_shards(mixed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The mixture itself: a row of ``docs`` for each time it is taken, with its shard, order, pass and words.
 
-def shuffled_shards(mixed: DataFrame) -> DataFrame:
-    """The mixture's rows (shard, order, doc_id, pass), each shard together and sorted by ``order``."""
-    rows = mixed.select("doc_id", F.explode("takes").alias("t")).select("t.shard", "t.order", "doc_id", "t.pass")
-    return rows.repartition("shard").sortWithinPartitions("shard", "order")
+    Each shard is together and sorted by ``order``. ``mixed`` is ``mixture(docs)``; its columns come after those
+    of ``docs``, where ``shard``, ``order``, ``pass`` and ``taken`` must not be in use. Rows with one id, source and
+    text share out what each of them was given.
+    """
+    own, key = [F.col(c) for c in docs.columns], ["doc_id", "version", "source"]
+    times = mixed.select(*[F.col(c).alias(f"__mizzen_{c}") for c in key], "size", "takes")
+    given = times.groupBy(*[f"__mizzen_{c}" for c in key]).agg(F.first("size").alias("__mizzen_size"), F.flatten(F.collect_list("takes")).alias("__mizzen_takes"), F.count(F.lit(1)).alias("__mizzen_of"))
+    given = cut(given)
+    rows = docs.withColumn("__mizzen_text", F.xxhash64("text"))
+    if not given.where("__mizzen_of > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "source", "__mizzen_text"])
+    same = F.col("doc_id").eqNullSafe(F.col("__mizzen_doc_id")) & (F.col("__mizzen_text") == F.col("__mizzen_version")) & F.col("source").eqNullSafe(F.col("__mizzen_source"))
+    taken = rows.join(given, same).select(*own, "__mizzen_size", F.explode("__mizzen_takes").alias("__mizzen_t"))
+    out = taken.select(*own, *[F.col(f"__mizzen_t.{c}").alias(c) for c in ("shard", "order", "pass")], F.col("__mizzen_size").alias("taken"))
+    return out.repartition("shard").sortWithinPartitions("shard", "order")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixture(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("takes")).cast("bigint").alias("taken"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("takes")).cast("bigint").alias("taken"), "takes")
