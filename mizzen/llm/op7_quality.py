@@ -7,8 +7,10 @@ Line rules (a line without a word passes and carries no weight):
 * navigation: at least three ``|`` or ``»`` or ``•`` separators, or at least one for every three words;
 * symbols: characters of ``[#*$%&|<>{}]`` are over a tenth of the line's non-space characters;
 * shouting: over 70% of its cased letters are capitals, twenty of them or more and three in a row;
-* boilerplate: one of the listed phrases, in any case;
-* punctuation: at least 12 words and none of ``. ! ? ; : …`` in the line.
+* boilerplate: one of the phrases of ``BOILERPLATE``, in any case. That a line is frequent across documents
+  is no rule here: where a document has thousands of near copies its own lines are as frequent and as
+  often beside different lines as a notice, and all copies would go before near dedup can keep one;
+* punctuation: at least 12 words and no mark of ``STOPS`` in the line.
 
 A document is rejected when the base rules fail or when its failed lines hold more than
 ``max_loss`` of its non-space characters.
@@ -29,10 +31,16 @@ from pyspark.sql import functions as F
 from .text import SPACES, let, shingle_hashes, words
 
 SYMBOLS = "#*$%&|<>"
+#: What notices about a page, not its subject, say, in the languages of the documents.
 BOILERPLATE = (
     "javascript", "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
     "click here", "lorem ipsum", "sign up for our newsletter", "log in to continue", "skip to content",
+    "politique de confidentialité", "conditions d'utilisation", "tous droits réservés", "cliquez ici", "accepter les cookies",
+    "datenschutzerklärung", "nutzungsbedingungen", "alle rechte vorbehalten", "hier klicken", "cookies akzeptieren",
+    "política de privacidad", "términos de uso", "todos los derechos reservados", "haga clic aquí", "aceptar las cookies",
 )
+#: Marks that end or divide a sentence, in Latin and other scripts.
+STOPS = ".!?;:…。！？；：、،؛؟।॥።։"
 
 
 def _count(text: Column, chars: str) -> Column:
@@ -55,7 +63,7 @@ def line_fails(line: Column) -> Column:
     symbols = line.rlike("[#*$%&|<>{}]") & (_count(line, SYMBOLS + "{}") * 10 > _solid(line))
     shouting = line.rlike(r"\p{Lu}{3}") & (capitals >= 20) & (capitals * 10 > cased * 7)
     listed = let(F.lower(line), lambda x: reduce(or_, [x.contains(p) for p in BOILERPLATE]))
-    return line.rlike(r"[^\x20\x09-\x0D]") & (navigation | symbols | shouting | (~line.rlike("[.!?;:…]") & (n >= 12)) | listed)
+    return line.rlike(r"[^\x20\x09-\x0D]") & (navigation | symbols | shouting | (~line.rlike(f"[{STOPS}]") & (n >= 12)) | listed)
 
 
 def repeated_words(tokens: Column, size: int = 3) -> Column:
@@ -120,19 +128,20 @@ def assess(docs: DataFrame, max_loss: float = 0.5) -> DataFrame:
 
 
 def clean(docs: DataFrame, max_loss: float = 0.5) -> DataFrame:
-    """The kept documents without their failed lines; columns stay, ``n_chars`` follows the text."""
+    """The kept documents without their failed lines; columns stay, an ``n_chars`` among them follows the text."""
     name = "__mizzen_quality"
     # An array of the verdict or of nothing: exploding it filters without a second evaluation.
     verdict = F.filter(F.array(measures(F.col("text"), max_loss)), lambda m: m["kept"])
     kept = docs.select("*", F.explode(verdict).alias(name))
-    return kept.withColumn("text", F.col(name)["cleaned"]).withColumn("n_chars", F.char_length("text").cast("bigint")).drop(name)
+    out = kept.withColumn("text", F.col(name)["cleaned"]).drop(name)
+    return out.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-_PHRASES = "|".join(BOILERPLATE)
+_PHRASES = "|".join(BOILERPLATE).replace("'", "''")
 SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t,
@@ -158,7 +167,7 @@ WITH d AS (
   SELECT k, l, solid,
          n > 0 AND (bars >= 3 OR (bars >= 1 AND bars * 3 >= n) OR symbols * 10 > solid
            OR (regexp_matches(l, '\p{{Lu}}{{3}}') AND capitals >= 20 AND capitals * 10 > cased * 7) OR regexp_matches(lower(l), '{_PHRASES}')
-           OR (n >= 12 AND NOT regexp_matches(l, '[.!?;:…]'))) AS fails
+           OR (n >= 12 AND NOT regexp_matches(l, '[{STOPS}]'))) AS fails
   FROM ln
 ), per AS (
   SELECT k, (count(*) FILTER (solid > 0) - count(DISTINCT l) FILTER (solid > 0))::BIGINT AS dup,
