@@ -32,7 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import cut, fits, mix, small_batches, word_hashes
+from ..sources.scratch import cut, fits
+from .text import mix, portions, word_hashes
 
 #: (kind, longest symbol in words that takes part) of each round.
 ROUNDS = (("run", 1), ("pair", 1), ("pair", 1), ("run", 2), ("pair", 2))
@@ -134,7 +135,7 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
     """Rows (doc_id, sha, version, n, marks): digest of all words, their number, and the anchors' names."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in portions(batches):
             words, text, _ = _joined(batch["text"])
             at, names = anchors(words, text, window)
             cuts = np.searchsorted(text[at], np.arange(1, len(batch)))
@@ -150,7 +151,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
     """Rows (x, y, doc_id, version, place) of the windows of ``texts`` whose anchor is in ``names``."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in map(_of_version, batches):
+        for batch in map(_of_version, portions(batches)):
             if batch.empty:
                 continue
             words, text, first = _joined(batch["text"])
@@ -171,7 +172,7 @@ def _stripped(found: DataFrame, window: int) -> DataFrame:
     """Rows (doc_id, version, removed, rest): the words that no window in ``places`` covers."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in map(_of_version, batches):
+        for batch in map(_of_version, portions(batches)):
             removed, rest = [], []
             for text, places in zip(batch["text"], batch["places"]):
                 words = np.array(_words(text), dtype=object)
@@ -193,11 +194,13 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     if window < 2 * REACH + 2:
         raise ValueError(f"a window needs {2 * REACH + 2} words")
-    small_batches(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("bigint"), "text")
     base = cut(_scan(plain, window))
-    classes = base.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first_id"))
-    leads = base.join(classes, "sha").where("doc_id = first_id").dropDuplicates(["sha"])
+    # Texts that several documents have, so that the join below doesn't shuffle the others; cut, so that Spark can split it.
+    shared_text = base.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("of")).where("of > 1").drop("of")
+    classes = cut(shared_text)
+    marked = base.where("doc_id IS NOT NULL").join(F.broadcast(classes) if fits(classes, BROADCAST_IDS) else classes, "sha", "left")
+    leads = marked.where("first_id IS NULL").unionByName(marked.where("doc_id = first_id").dropDuplicates(["sha"]))
     marks = leads.select("doc_id", "version", F.explode("marks").alias("name"))
     shared = marks.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name")
     hits = cut(marks.join(shared, "name").groupBy("doc_id", "version").agg(F.collect_list("name").alias("names")))
@@ -211,7 +214,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     cuts = _stripped(texts.drop("names").join(places, ["doc_id", "version"]), window).dropDuplicates(["doc_id", "version"])
 
     copy = F.coalesce((F.col("doc_id") > F.col("first_id")) & (F.col("n") >= window), F.lit(False))
-    out = base.drop("marks").join(classes, "sha", "left").join(cuts, ["doc_id", "version"], "left")
+    out = base.drop("marks").join(F.broadcast(classes) if fits(classes, BROADCAST_IDS) else classes, "sha", "left").join(cuts, ["doc_id", "version"], "left")
     rest = F.when(copy, F.lit("")).otherwise(F.col("rest"))
     removed = F.when(copy, F.col("n")).otherwise(F.coalesce("removed", F.lit(0).cast("bigint")))
     digest = F.when(copy | F.col("rest").isNotNull(), F.sha2(rest, 256)).otherwise(F.lower(F.hex("sha")))
