@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+from mizzen.llm.op6_mixing import mixture
 from tests.llm.test_operators import brute_lines, brute_near, prose, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,8 +45,16 @@ def test_stages(spark, tmp_path):
     before, after = seen["decontamination"]
     assert {i for i, _ in pairs(before)} - {i for i, _ in pairs(after)} == {130}
     before, after = seen["mixing"]
-    assert after.count() == before.count()
-    assert sorted(map(str, corpus_pipeline.run(spark, d).select("doc_id", "taken").collect())) == sorted(map(str, after.select("doc_id", "taken").collect()))
+    takes = {x.doc_id: len(x.takes) for x in mixture(before).collect()}
+    texts = dict(pairs(before))
+    made = after.collect()
+    assert Counter(x.doc_id for x in made) == Counter({i: n for i, n in takes.items() if n})
+    assert all(x.text == texts[x.doc_id] and x.taken == len(WORD.findall(x.text)) for x in made)
+    assert after.columns == [*columns, "shard", "order", "pass", "taken"]
+    again = [tuple(x) for x in corpus_pipeline.run(spark, d).collect()]
+    assert sorted(again, key=str) == sorted((tuple(x) for x in made), key=str)
+    place = after.columns.index("shard")
+    assert all(a[place + 1] <= b[place + 1] for a, b in zip(again, again[1:]) if a[place] == b[place])
 
 
 def test_empty(spark, tmp_path):
