@@ -7,35 +7,56 @@ from pyspark.sql import functions as F
 
 from mizzen.llm.op2_decontaminate import decontaminate
 from mizzen.llm.op5_lines import dedup_lines
-from mizzen.llm.op6_mixing import mixture
+from mizzen.llm.op6_mixing import mixture, shuffled_shards
 from mizzen.llm.op7_quality import clean
 from mizzen.llm.op10_near import drop_near_duplicates
-from mizzen.llm.text import cut
+from mizzen.sources.scratch import cut
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failed lines go, then documents that the rules reject."""
+    """Failed lines go, then documents that the rules reject.
+
+    Null and empty texts and texts of under 50 words are rejected; repeated rows and rows with a null id, language or
+    source are judged each for itself; an empty table stays empty.
+    """
     return clean(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs go; a document left without any word goes with them."""
-    return dedup_lines(docs, every_length=True).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """Later copies of line runs go; a document left without any word goes with them.
+
+    The copy in the least (doc_id, line) stays. Repeated rows don't cut each other, a row with a null id neither cuts
+    nor is cut, and a null text goes; an empty table stays empty.
+    """
+    return dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, that of the least id.
+
+    Repeated rows become one; texts under one id that aren't near each other all stay, as do rows with a null id or
+    without a word; an empty table stays empty.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a test item go."""
+    """Documents that contain a test item go.
+
+    Items with a null id count, items without a word don't; repeated rows go or stay together; null texts and ids
+    stay; an empty table, of documents or of items, removes nothing.
+    """
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often, in which shards and in which order each document enters the mixture."""
-    return mixture(docs).withColumn("taken", (F.col("size") * F.size("takes")).cast("bigint"))
+    """The mixture: a row with its text for each time a document is taken, in shards, each in shuffled order.
+
+    Null sources are a source; null and empty texts and null ids are taken like any other; repeated rows share out
+    what they are given; an empty table gives an empty mixture.
+    """
+    docs = docs.drop("shard", "order", "pass", "taken")
+    return shuffled_shards(mixture(docs), docs)
 
 
 STAGES = [
