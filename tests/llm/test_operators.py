@@ -509,7 +509,7 @@ def test_recompression_is_local():
     seen = []
     for n in (0, 17, 90):
         words = np.concatenate([rng.integers(0, 6, n).astype(np.uint64), passage, rng.integers(0, 6, 40).astype(np.uint64)])
-        name, start = op9_substring.recompress(words, np.zeros(words.size, dtype=np.int64))
+        (name,), start = op9_substring.recompress(words, np.zeros(words.size, dtype=np.int64))
         inside = (start >= n + op9_substring.REACH) & (np.append(start[1:], words.size) <= n + 200 - op9_substring.REACH)
         seen.append(list(zip(name[inside], start[inside] - n)))
     assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 20
@@ -607,3 +607,22 @@ def test_columns_stay(spark):
     """Without a column for the length of the text, none comes."""
     given = table(spark, [(1, "\n".join(prose(f"s{i}", 30) + "." for i in range(6)))]).drop("n_chars")
     assert op7_quality.clean(given).columns == given.columns and op5_lines.dedup_lines(given).columns == given.columns
+
+
+def test_repeats_long(spark):
+    """Repeats of hundreds of words, among them near copies, whose symbols Spark names; symbols verify windows."""
+    r = random.Random(21)
+    base = prose("repeat", 2000, 5000).split()
+    rows = [(i, prose(f"own{i}", 200)) for i in range(3)]
+    for i in range(12):
+        low = r.randrange(0, 1200)
+        w = base[low : low + r.randrange(60, 800)]
+        for _ in range(r.randrange(0, 3)):
+            w[r.randrange(len(w))] = f"other{i}"
+        rows.append((r.randrange(3, 40), f"{prose(f'h{i}', 40)} {' '.join(w)} {prose(f't{i}', r.randrange(0, 70))}"))
+    rows += [(50, " ".join(base)), (51, " ".join(["a", "b"] * 700)), (52, " ".join(["a", "b"] * 600)), (50, " ".join(base))]
+    given = table(spark, rows)
+    assert results(op9_substring.remove_repeats(given).drop("rest")) == brute_repeats(rows, 50)
+    base_rows = op9_substring._scan(given.select("doc_id", "text"), 50)
+    found = op9_substring.verified_spans(base_rows.where("n >= 50"), 50).collect()
+    assert sum(h - low for x in found for low, h in zip(x.lows, x.highs)) > 500
