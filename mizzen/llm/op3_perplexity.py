@@ -11,7 +11,8 @@ and each order's probabilities to the next lower ones'.
 
 Scoring needs, for each run of a document, the longest suffix that the model has. While the model has
 at most ``BROADCAST_RUNS`` rows, which is counted first, it is sent to the executors and looked up
-where the texts are. A larger model stays sharded, and the documents' run counts are joined to it.
+where the texts are. A larger model stays sharded: each distinct run of the documents is scored once by
+joins with it, and one more join gives the scores to the documents' run counts.
 Both ways have the same result.
 
 A document is kept if its perplexity is at most the ``quantile`` of the trusted documents'
@@ -45,7 +46,7 @@ START, END = 0xFFFE, 0xFFFF
 WHOLE = "a"
 #: Model rows up to which the model is broadcast: 16 bytes each on the executors.
 BROADCAST_RUNS = 2_000_000
-#: Trusted ids up to which their list is broadcast.
+#: Trusted ids, and languages, up to which their list is broadcast.
 BROADCAST_IDS = 1_000_000
 #: Distinct runs that a training task holds before it hands them on.
 HELD_RUNS = 2_000_000
@@ -122,7 +123,7 @@ def train(counts: DataFrame) -> DataFrame:
     lower = by_order[1].groupBy("lang").agg((1 / (F.count(F.lit(1)) + 1)).alias("p")).select("lang", F.lit(0).cast("bigint").alias("g"), "p")
     probs, backs = [lower.select("lang", F.lit(0).alias("n"), "g", "p")], []
     for n in range(1, ORDER + 1):
-        rows = by_order[n].join(_discounts(by_order[n]), "lang")
+        rows = by_order[n].join(_small(cut(_discounts(by_order[n]))), "lang")
         rows = rows.withColumn("d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
         rows = rows.withColumn("h", _context(F.col("g"))).withColumn("s", _suffix(F.col("g"), n - 1) if n > 1 else F.lit(0).cast("bigint"))
         context = rows.groupBy("lang", "h").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("b"))
@@ -204,8 +205,17 @@ def _score_local(docs: DataFrame, model: DataFrame) -> DataFrame:
     return out
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A table of a row or so a language, to be broadcast if it is proven small."""
+    return F.broadcast(df) if fits(df, BROADCAST_IDS) else df
+
+
 def _score_sharded(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """Perplexities by joins of the documents' run counts with a model of any size."""
+    """Perplexities by joins with a model of any size.
+
+    Each distinct run of the documents is scored once, by joins of the tables of runs; one more join gives
+    the scores to the documents' counts of runs.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in portions(batches):
@@ -215,7 +225,8 @@ def _score_sharded(docs: DataFrame, model: DataFrame) -> DataFrame:
 
     plain = docs.withColumn("row", F.monotonically_increasing_id())
     plain = cut(plain.select("row", "doc_id", "lang", "trusted", "text"))
-    found = plain.select("row", "lang", "text").mapInPandas(scan, "row bigint, lang string, g bigint, n bigint")
+    counts = plain.select("row", "lang", "text").mapInPandas(scan, "row bigint, lang string, g bigint, n bigint")
+    found = cut(counts.select("lang", "g").distinct())
     score = F.lit(None).cast("double")
     unknown = F.lit(0.0)
     for n in range(ORDER, 0, -1):
@@ -227,8 +238,8 @@ def _score_sharded(docs: DataFrame, model: DataFrame) -> DataFrame:
         score = F.coalesce(score, unknown + F.col(f"p{n}"))
         unknown = unknown + F.coalesce(F.col(f"b{n}"), F.lit(0.0))
     base = model.where("n = 0").select("lang", F.log("p").alias("p0"))
-    found = found.join(base, "lang").withColumn("score", F.coalesce(score, unknown + F.col("p0")))
-    sums = found.groupBy("row").agg(F.exp(-F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("perplexity"))
+    scores = cut(found.join(_small(base), "lang").select("lang", "g", F.coalesce(score, unknown + F.col("p0")).alias("score")))
+    sums = counts.join(scores, ["lang", "g"]).groupBy("row").agg(F.exp(-F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("perplexity"))
     return plain.drop("text").join(sums, "row", "left").drop("row")
 
 
@@ -257,9 +268,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, broadca
     Trusted are the documents that ``labels`` (doc_id, quality, toxic) calls good and not toxic.
     """
     good = cut(labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("good_id")).distinct())
-    side = F.broadcast(good) if fits(good, BROADCAST_IDS) else good
     plain = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("lang", F.lit("")).alias("lang"), "text")
-    marked = plain.join(side, F.col("doc_id") == F.col("good_id"), "left").withColumn("trusted", F.col("good_id").isNotNull()).drop("good_id")
+    marked = plain.join(_small(good), F.col("doc_id") == F.col("good_id"), "left").withColumn("trusted", F.col("good_id").isNotNull()).drop("good_id")
     fold = _folded(F.col("text"))
     halves = cut(run_counts(marked.where("trusted").withColumn("lang", F.concat(fold.cast("string"), "lang"))))
     whole = halves.groupBy(F.concat(F.lit(WHOLE), F.substring("lang", 2, 1 << 30)).alias("lang"), "g").agg(F.sum("c").alias("c"))
@@ -274,7 +284,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, broadca
     scored = scored.select("doc_id", "by", F.substring("lang", 2, 1 << 30).alias("lang"), "perplexity")
     unseen = scored.where(F.col("by") != WHOLE)
     limits = cut(exact_quantile(unseen.where("perplexity IS NOT NULL"), "lang", "perplexity", quantile).withColumnRenamed("perplexity", "threshold"))
-    out = scored.where(F.col("by") == WHOLE).join(F.broadcast(limits) if fits(limits, BROADCAST_IDS) else limits, "lang", "left")
+    out = scored.where(F.col("by") == WHOLE).join(_small(limits), "lang", "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("doc_id", "lang", "perplexity", "threshold", kept.alias("kept"))
 
