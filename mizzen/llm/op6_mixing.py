@@ -12,8 +12,8 @@ Main path: DataFrame operations only.
    in what is left. What is taken falls short of the target by less than one document.
 3. Tree. The drawn blocks of all sources are exact quotas. A node of the tree splits its quotas
    between its two halves of the output shards: the left half's share is filled from the node's
-   blocks without replacement, so the counts by source are multivariate hypergeometric. Selection
-   sampling draws it from hashed uniforms, and so reruns agree. At the leaves each shard has a
+   blocks without replacement, so the counts by source are multivariate hypergeometric: one
+   hypergeometric draw a source after the other, from hashed uniforms, and so reruns agree. At the leaves each shard has a
    quota for every source, and takes that many of the source's blocks in permuted order.
 4. Within a shard rows carry a hashed ``order`` to be sorted by locally.
 
@@ -27,7 +27,7 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, lgamma, log, pi
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,26 +65,58 @@ def _uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(2**53))
 
 
-def _split(quotas: Column, left: Column, total: Column, node: Column, seed: int) -> Column:
-    """How many of each source's blocks go left, when ``left`` of all ``total`` blocks do.
+def _log_factorial(x: Column) -> Column:
+    """Of a whole number that isn't negative: by table up to 9, beyond by Stirling's series."""
+    table = F.array(*[F.lit(lgamma(k + 1)) for k in range(10)])
+    large = (x + 0.5) * F.log(x) - x + 0.5 * log(2 * pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+    return F.when(x < 10, F.get(table, x.cast("int"))).otherwise(large)
+
 
-    Selection sampling: each block goes left with probability (places left) / (blocks left).
+def _drawn(n: Column, places: Column, blocks: Column, uniform: Column) -> Column:
+    """How many of a source's ``n`` blocks are among ``places`` drawn from ``blocks``: hypergeometric, by inversion.
+
+    The chances are gone through from the likeliest count outward, both ways at once, for ten standard deviations;
+    a double has no room for what lies beyond.
     """
 
-    def blocks(state: Column, q: Column) -> Column:
-        # state: places and blocks left, and the counts so far
-        each = F.sequence(F.lit(1), q["n"])
-        first = F.struct(state["places"].alias("places"), state["blocks"].alias("blocks"))
+    def inverted(a: Column) -> Column:
+        n, places, blocks, mode = (a[c] for c in ("n", "places", "blocks", "mode"))
+        others = blocks - n - places
+        ways = lambda x, k: _log_factorial(x) - _log_factorial(k) - _log_factorial(x - k)
+        top = F.exp(ways(n, mode) + ways(blocks - n, places - mode) - ways(blocks, places))
+        share = n / F.greatest(blocks, F.lit(1.0))
+        spread = F.sqrt(F.greatest(places * share * (1 - share) * (blocks - places) / F.greatest(blocks - 1, F.lit(1.0)), F.lit(0.0)))
+        steps = F.sequence(F.lit(1), F.least(F.ceil(10 * spread) + 10, a["n"] + 1).cast("int"))
+
+        def step(s: Column, i: Column) -> Column:
+            up = s["up"] * (n - s["high"]) * (places - s["high"]) / ((s["high"] + 1) * (others + s["high"] + 1))
+            down = s["down"] * s["low"] * (others + s["low"]) / ((n - s["low"] + 1) * (places - s["low"] + 1))
+            left = s["left"] - up
+            found = F.when(left < 0, s["high"] + 1).when(left < down, s["low"] - 1)
+            moved = F.struct((left - down).alias("left"), up.alias("up"), down.alias("down"), (s["high"] + 1).alias("high"), (s["low"] - 1).alias("low"), found.alias("found"))
+            return F.when(s["found"].isNotNull(), s).otherwise(moved)
+
+        first = F.struct((a["u"] - top).alias("left"), top.alias("up"), top.alias("down"), mode.alias("high"), mode.alias("low"), F.when(a["u"] < top, mode).alias("found"))
+        return F.coalesce(F.aggregate(steps, first, step)["found"], mode).cast("bigint")
 
-        def one(s: Column, j: Column) -> Column:
-            goes = F.when(_uniform(F.lit(seed), node, q["k"], j) * s["blocks"] < s["places"], 1).otherwise(0).cast("bigint")
-            return F.struct((s["places"] - goes).alias("places"), (s["blocks"] - 1).alias("blocks"))
+    low, high = F.greatest(places + n - blocks, F.lit(0)), F.least(n, places)
+    mode = F.least(F.greatest(F.floor((places + 1) * (n + 1) / (blocks + 2)), low), high)
+    given = F.struct(*[x.cast("double").alias(c) for c, x in (("n", n), ("places", places), ("blocks", blocks), ("mode", mode))], uniform.alias("u"))
+    return F.when((n == 0) | (places == 0), F.lit(0).cast("bigint")).otherwise(let(given, inverted))
+
+
+def _split(quotas: Column, left: Column, total: Column, node: Column, seed: int) -> Column:
+    """How many of each source's blocks go left, when ``left`` of all ``total`` blocks do.
+
+    One draw a source, each from the places and blocks that the sources before it have left.
+    """
 
-        end = F.when(q["n"] > 0, F.aggregate(each, first, one)).otherwise(first)
-        return let(end, lambda e: F.struct(e["places"].alias("places"), e["blocks"].alias("blocks"), F.array_append(state["taken"], F.struct(q["k"].alias("k"), (state["places"] - e["places"]).alias("n"))).alias("taken")))
+    def source(state: Column, q: Column) -> Column:
+        drawn = _drawn(q["n"], state["places"], state["blocks"], _uniform(F.lit(seed), node, q["k"]))
+        return let(drawn, lambda x: F.struct((state["places"] - x).alias("places"), (state["blocks"] - q["n"]).alias("blocks"), F.array_append(state["taken"], F.struct(q["k"].alias("k"), x.alias("n"))).alias("taken")))
 
     start = F.struct(left.alias("places"), total.alias("blocks"), F.array().cast("array<struct<k:bigint,n:bigint>>").alias("taken"))
-    return F.aggregate(quotas, start, blocks, lambda s: s["taken"])
+    return F.aggregate(quotas, start, source, lambda s: s["taken"])
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int = 1) -> DataFrame:
