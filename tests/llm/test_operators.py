@@ -626,3 +626,35 @@ def test_repeats_long(spark):
     base_rows = op9_substring._scan(given.select("doc_id", "text"), 50)
     found = op9_substring.verified_spans(base_rows.where("n >= 50"), 50).collect()
     assert sum(h - low for x in found for low, h in zip(x.lows, x.highs)) > 500
+
+
+def test_mixing_many_sources(spark):
+    """A thousand sources, one of which holds a third of the rows."""
+    r = random.Random(15)
+    rows = [(i, "w " * r.randrange(0, 9), "en", "big" if i % 3 == 0 else f"s{r.randrange(1000):04}") for i in range(6000)]
+    got = op6_mixing.mixture(table(spark, rows)).collect()
+    sizes, taken, targets = Counter(), Counter(), {}
+    for x in got:
+        sizes[x.source] += x.size
+        taken[x.source] += x.size * len(x.takes)
+        targets[x.source] = x.target
+    assert len(got) == len(rows) and sum(sizes.values()) == sum(len(t.split()) for _, t, *_ in rows)
+    order = sorted(sizes)
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    assert sum(targets.values()) == pytest.approx(sum(sizes.values()))
+    free = {s for s in order if targets[s] < 3 * sizes[s] - 1e-6}
+    assert len({round(targets[s] / weight[s], 6) for s in free}) == 1 and all(0 <= targets[s] - taken[s] + 1e-6 < 9 for s in order)
+
+
+def test_hypergeometric_draws(spark):
+    """Draws of a small urn occur as often as they should; those of a large one have its mean and spread."""
+    draws = lambda n, places, blocks, k: [x.d for x in spark.range(k).select(op6_mixing._drawn(*[F.lit(v).cast("bigint") for v in (n, places, blocks)], op6_mixing._uniform(F.lit(9), "id")).alias("d")).collect()]
+    for n, places, blocks in ((3, 4, 9), (5, 5, 6), (2, 7, 7), (6, 0, 9), (0, 3, 9), (1, 1, 2)):
+        seen = Counter(draws(n, places, blocks, 4000))
+        for k in range(max(0, places + n - blocks), min(n, places) + 1):
+            p = math.comb(n, k) * math.comb(blocks - n, places - k) / math.comb(blocks, places)
+            assert abs(seen.pop(k, 0) / 4000 - p) < 5 * math.sqrt(p * (1 - p) / 4000) + 1e-9, (n, places, blocks, k)
+        assert not seen
+    got = np.array(draws(65_536, 500_000, 1_000_003, 3000))
+    spread = math.sqrt(500_000 * 0.065536 * 0.934464 * 500_003 / 1_000_002)
+    assert abs(got.mean() - 500_000 * 65_536 / 1_000_003) < 5 * spread / math.sqrt(3000) and abs(got.std() / spread - 1) < 0.08

@@ -16,7 +16,7 @@ def rows():
     out += [(100 + i, text(1), "en", "s0") for i in range(3)]
     out += [(110 + i, text(2).replace(".", f" tail{i}.", 1), "en", "s1") for i in range(3)]
     out += [(120, None, "en", None), (121, "", None, "s1"), (None, text(77), "en", "s2"), (122, "short text", "en", "s1"), (123, "BUY NOW!! " * 80, "en", "s3")]
-    out += [(130, text(3) + "\n" + prose("item", 30) + ".", "en", "s1"), (5, text(5), "en", "s1")]
+    out += [(130, text(3) + "\n" + prose("item", 30) + ".", "en", "s1"), (5, text(5), "en", "s1"), (140, f"{text(90)}\nHome | About | Contact | Help", "en", "s2")]
     return out
 
 
@@ -36,6 +36,9 @@ def test_stages(spark, tmp_path):
 
     before, after = seen["quality_rules"]
     assert Counter(i for i, _ in pairs(after)) == Counter(i for i, *_ in rows() if i not in (120, 121, 122, 123))
+    nav = "\nHome | About | Contact | Help"
+    assert Counter(pairs(after)) == Counter((i, t.removesuffix(nav)) for i, t, *_ in rows() if i not in (120, 121, 122, 123))
+    assert all(x.n_chars == len(x.text) for x in after.collect())
     before, after = seen["line_dedup"]
     want = [(i, t) for i, t in brute_lines(pairs(before), 5) if WORD.search(t)]
     assert sorted(pairs(after), key=str) == sorted(want, key=str)
