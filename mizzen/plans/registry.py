@@ -419,6 +419,11 @@ def export_restore(s, d):
     return archive.restore(s, f"{folder}/out", archive.export(t, f"{folder}/out"), f"{folder}/in")
 
 
+@query("SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal FROM supplier")
+def verified_rewrite(s, d):
+    return archive.rewrite(sc.modify_column(_t(s, d, "supplier"), "s_nationkey", "bigint"), scratch.new_folder(s))
+
+
 # Operands of any type
 
 
