@@ -47,9 +47,9 @@ from .text import mix, portions, word_hashes
 #: (kind, longest symbol in words that takes part) of each round.
 ROUNDS = (("run", 1), ("pair", 1), ("pair", 1), ("run", 2), ("pair", 2))
 #: The rounds that follow them in the same pass, to symbols of a few dozen words.
-LONGER = (("run", 4), ("pair", 4), ("pair", 4), ("pair", 8), ("pair", 8), ("pair", 16), ("pair", 16), ("run", 32), ("pair", 32), ("pair", 32))
+LONGER = (("run", 4), *[("pair", n) for n in (4, 4, 8, 8, 8, 16, 16, 16)], ("run", 32), *[("pair", 32)] * 5)
 #: The rounds that Spark names. Deeper ones would spare fewer windows; results are whole after any number.
-SPARK_ROUNDS = ("run", "pair", "pair", "pair", "pair")
+SPARK_ROUNDS = ("run", "pair", "pair", "pair")
 #: Words on either side that a boundary of the last round depends on.
 REACH = sum(limit for _, limit in ROUNDS)
 #: Ids up to which a list of documents is broadcast.
@@ -102,19 +102,16 @@ def spans(words: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     return out
 
 
-def symbols(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, sizes and names in two lanes of the symbols after all rounds of one pass."""
-    lanes = (_B, _C)
-    names, start = recompress([mix(words + _seed(5)), mix(words + _seed(6))], text, ROUNDS + LONGER, lanes=lanes, start=np.arange(words.size))
-    return start, np.diff(start, append=words.size), *names
+def short_symbols(words: np.ndarray, text: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Names in two lanes and starts of the symbols after ``ROUNDS``."""
+    return recompress([words, mix(words + _seed(5))], text, ROUNDS, np.arange(words.size), (_B, _C))
 
 
-def anchors(words: np.ndarray, text: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all windows that lie in one text, and their anchors' names."""
+def anchors(words: np.ndarray, text: np.ndarray, window: int, name: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all windows that lie in one text, and their anchors' names; ``name`` and ``start`` of the short symbols."""
     if words.size < window:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
     at = np.flatnonzero(text[: words.size - window + 1] == text[window - 1 :])
-    (name,), start = recompress(words, text)
     rank, end = mix(name), np.append(start[1:], words.size)
     low, high = np.searchsorted(start, at + REACH), np.searchsorted(end, at + window - REACH, side="right")
     found = high > low
@@ -166,10 +163,12 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in portions(batches):
             words, text, first = _joined(batch["text"])
-            at, names = anchors(words, text, window)
+            lanes, start = short_symbols(words, text)
+            at, names = anchors(words, text, window, lanes[0], start)
             cuts = np.searchsorted(text[at], np.arange(1, len(batch)))
             marks = [np.unique(x).view(np.int64) for x in np.split(names, cuts)]
-            start, size, x, y = symbols(words, text)
+            (x, y), start = recompress(lanes, text, LONGER, start, (_B, _C), len(ROUNDS))
+            size = np.diff(start, append=words.size)
             ends = np.searchsorted(text[start], np.arange(1, len(batch)))
             start = start - first[text[start]]
             digests = [_digest(t) for t in batch["text"]]
@@ -194,13 +193,15 @@ def _round(live: DataFrame, kind: str, k: int) -> DataFrame:
     """
     order = Window.partitionBy("doc_id", "version").orderBy("start")
     before = lambda c: F.lag(c).over(order)
-    beside = before(F.col("start") + F.col("size")) == F.col("start")
+    beside = F.coalesce(before(F.col("start") + F.col("size")) == F.col("start"), F.lit(False))
+    followed = F.coalesce(F.lead("start").over(order) == F.col("start") + F.col("size"), F.lit(False))
     if kind == "run":
         joined = beside & (before(F.col("x")) == F.col("x")) & (before(F.col("y")) == F.col("y"))
     else:
         right = F.xxhash64(F.lit(k), "x", "y").bitwiseAND(F.lit(1))
         joined = beside & (before(right) == 0) & (right == 1)
-    dealt = live.withColumn("joined", F.coalesce(joined, F.lit(False)))
+    # A symbol without a shared one beside it can't grow any more.
+    dealt = live.select("*", F.coalesce(joined, F.lit(False)).alias("joined"), (beside | followed).alias("met")).where("met").drop("met")
     dealt = cut(dealt.withColumn("part", F.sum(F.when(F.col("joined"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("joined"))
     ends = [f(F.struct("start", "x", "y")).alias(c) for f, c in ((F.min, "a"), (F.max, "z"))]
     several = dealt.groupBy("doc_id", "version", "part").agg(*ends, F.sum("size").cast("int").alias("size"), F.count(F.lit(1)).alias("of")).where("of > 1")
@@ -248,7 +249,8 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
             if batch.empty:
                 continue
             words, text, first = _joined(batch["text"])
-            at, names = anchors(words, text, window)
+            (name,), start = recompress(words, text)
+            at, names = anchors(words, text, window, name, start)
             shared = np.concatenate([np.asarray(x, dtype=np.int64) for x in batch["names"]])
             wanted = np.isin(names.view(np.int64), shared)
             # A window begins inside a span if it ends there too.
@@ -297,12 +299,13 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     marked = base.where(F.col("doc_id").isNotNull() & (F.col("n") >= window)).join(classes, "sha", "left")
     leads = marked.where("first_id IS NULL").unionByName(marked.where("doc_id = first_id").dropDuplicates(["sha"]))
 
-    verified = cut(verified_spans(leads, window))
     marks = leads.select("doc_id", "version", F.explode("marks").alias("name"))
     shared = _shared(marks, ["name"]).select("name")
-    hits = marks.join(shared, "name").groupBy("doc_id", "version").agg(F.collect_list("name").alias("names"))
+    met = cut(marks.join(shared, "name").groupBy("doc_id", "version").agg(F.collect_list("name").alias("names")))
+    wanted = met.select("doc_id", "version")
+    verified = verified_spans(leads.join(F.broadcast(wanted) if fits(wanted, BROADCAST_IDS) else wanted, ["doc_id", "version"], "left_semi"), window)
     empty = lambda c, kind="int": F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
-    hits = cut(hits.join(verified, ["doc_id", "version"], "left").select("doc_id", "version", "names", empty("lows"), empty("highs")))
+    hits = cut(met.join(verified, ["doc_id", "version"], "left").select("doc_id", "version", "names", empty("lows"), empty("highs")))
     ids = hits.select("doc_id").distinct()
     texts = plain.join(F.broadcast(ids) if fits(ids, BROADCAST_IDS) else ids, "doc_id", "left_semi").join(hits, "doc_id")
 
