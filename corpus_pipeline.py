@@ -53,7 +53,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: a row with its text for each time a document is taken, in shards, each in shuffled order.
 
     Null sources are a source; null and empty texts and null ids are taken like any other; repeated rows share out
-    what they are given; an empty table gives an empty mixture.
+    what they are given; columns named shard, order, pass or taken make way; an empty table gives an empty mixture.
     """
     docs = docs.drop("shard", "order", "pass", "taken")
     return shuffled_shards(mixture(docs), docs)

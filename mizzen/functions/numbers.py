@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .coercion import ZERO_DATE, as_text, kind_of, number, operand
+from .coercion import NUMBER, ZERO_DATE, as_text, kind_of, number, operand
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -120,8 +120,6 @@ def unsigned(df: DataFrame, value) -> Column:
 def as_decimal(df: DataFrame, value, precision: int = 10, scale: int = 0) -> Column:
     """CAST(value AS DECIMAL(precision, scale)); exact for text, NULL where it doesn't fit."""
     if isinstance(kind_of(df, value), T.StringType):
-        from .coercion import NUMBER
-
         text = operand(value)
         found = F.nullif(F.regexp_extract(text, NUMBER, 1), F.lit(""))
         return F.when(text.isNotNull(), F.coalesce(found, F.lit("0")).try_cast(T.DecimalType(precision, scale)))
