@@ -47,6 +47,11 @@ def removed(spark: SparkSession, path: str) -> None:
     where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def cleared(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this session, once the results that read them are written."""
+    removed(spark, _folder(spark))
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows, without counting on beyond that."""
     return df.limit(rows + 1).count() <= rows

@@ -280,6 +280,18 @@ def test_archive(spark, tmp_path):
     assert archive.rewrite(df, str(tmp_path / "next")).count() == 3
 
 
+def test_scratch(spark):
+    from mizzen.sources import scratch
+
+    df, path = scratch.stored(spark.range(5))
+    assert df.count() == 5 and scratch.fits(df, 5) and not scratch.fits(df, 4)
+    scratch.removed(spark, path)
+    assert not list(spark.sparkContext._jvm.java.io.File(path.removeprefix("file:")).list() or [])
+    assert scratch.cut(spark.range(0)).count() == 0
+    scratch.cleared(spark)
+    assert scratch.cut(spark.range(3)).count() == 3
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry
 
