@@ -10,7 +10,7 @@ from mizzen.llm.op5_lines import dedup_lines
 from mizzen.llm.op6_mixing import mixture, shuffled_shards
 from mizzen.llm.op7_quality import clean
 from mizzen.llm.op10_near import drop_near_duplicates
-from mizzen.sources.scratch import cut
+from mizzen.sources.scratch import removed, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,10 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of all stages over ``documents``; each stage's result is written before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = cut(docs)
-    return docs
+    """The result of all stages over ``documents``; each stage's result is written before the next, its input removed."""
+    docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        (docs, later), old = stored(stage(spark, docs, sf_dir)), path
+        if old:
+            removed(spark, old)
+        path = later
+    return STAGES[-1][1](spark, docs, sf_dir)
