@@ -198,14 +198,15 @@ def mixture(docs: DataFrame, shards: int | None = None, most: int = 3, seed: int
     drawn = cut(drawn.select("source_no", "block", "rank", "full", "room", F.count(F.lit(1)).over(Window.partitionBy("source_no")).alias("of")))
     counts = drawn.groupBy("source_no").agg(F.sum(F.col("full") + (F.col("room") > 0).cast("int")).alias("n"))
 
-    # The i-th block that a source gives goes to the shard whose quota reaches i.
+    # The i-th block that a source gives goes to the shard in whose quota i falls: a row for each block taken.
     up_to = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    quotas = split_quotas(counts, shards, seed).withColumn("high", F.sum("n").over(up_to))
-    bounds = quotas.groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct("high", "shard"))).alias("bounds"))
+    quotas = split_quotas(counts, shards, seed).withColumn("high", F.sum("n").over(up_to)).where("n > 0")
+    dealt = quotas.select("source_no", "shard", F.explode(F.sequence(F.col("high") - F.col("n"), F.col("high") - 1)).alias("at"))
     last = F.when(F.col("room") > 0, F.col("full")).otherwise(F.col("full") - 1)
     passes = F.filter(F.sequence(F.lit(0), F.col("full")), lambda p: p <= last)
-    shard = lambda p: F.get(F.filter("bounds", lambda b: b["high"] > p * F.col("of") + F.col("rank")), F.lit(0))["shard"]
-    plans = drawn.join(bounds, "source_no").select("source_no", "block", "full", "room", F.transform(passes, lambda p: F.struct(p.alias("pass"), shard(p).alias("shard"))).alias("plans"))
+    asked = drawn.select("source_no", "block", "rank", "full", "room", "of", F.explode_outer(passes).alias("pass")).withColumn("at", F.col("pass") * F.col("of") + F.col("rank"))
+    given = F.collect_list(F.when(F.col("pass").isNotNull(), F.struct("pass", "shard")))
+    plans = asked.join(dealt, ["source_no", "at"], "left").groupBy("source_no", "block", "full", "room").agg(F.sort_array(given).alias("plans"))
 
     rows = placed.join(plans, ["source_no", "block"])
     steps, taken = _filled(F.greatest("room", F.lit(0.0)), ["source_no", "block"])
