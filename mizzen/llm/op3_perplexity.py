@@ -143,17 +143,21 @@ class _Model:
     """The model of each language as sorted arrays, by order."""
 
     def __init__(self, model: DataFrame):
-        langs = [r.lang for r in model.where("n = 0").select("lang").collect()]  # one row a language
-        self.tables: dict[str, dict] = {lang: {} for lang in langs}
-        number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int").alias("k")
-        for n in range(ORDER + 1):
-            rows = model.where(F.col("n") == n).select(number, "g", F.log("p").alias("p"), F.log("b").alias("b")).toPandas()
-            k, g, p, b = (rows[c].to_numpy() for c in ("k", "g", "p", "b"))
-            order = np.lexsort((g, k))
-            for i, lang in enumerate(langs, 1):
-                mine = order[slice(*np.searchsorted(k[order], (i, i + 1)))]
-                if mine.size:
-                    self.tables[lang][n] = (g[mine], p[mine], b[mine])
+        def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for (lang, n), part in batch.groupby(["lang", "n"]):
+                    yield pd.DataFrame({"lang": [lang], "n": [n], **{c: [part[c].to_numpy().tobytes()] for c in "gpb"}})
+
+        # Arrays, not rows, come to the driver: 24 bytes for each of at most BROADCAST_RUNS rows.
+        rows = model.select("lang", "n", "g", F.log("p").alias("p"), F.log("b").alias("b"))
+        parts: dict[tuple[str, int], list] = {}
+        for r in rows.mapInPandas(packed, "lang string, n int, g binary, p binary, b binary").collect():
+            parts.setdefault((r.lang, r.n), []).append((np.frombuffer(r.g, np.int64), np.frombuffer(r.p), np.frombuffer(r.b)))
+        self.tables: dict[str, dict] = {}
+        for (lang, n), found in parts.items():
+            g, p, b = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(g)
+            self.tables.setdefault(lang, {})[n] = (g[order], p[order], b[order])
 
     def logs(self, lang: str, keys: np.ndarray) -> np.ndarray:
         """The log probability of each run."""
