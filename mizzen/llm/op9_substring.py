@@ -48,7 +48,7 @@ from .text import mix, portions, word_hashes
 ROUNDS = (("run", 1), ("pair", 1), ("pair", 1), ("run", 2), ("pair", 2))
 #: The rounds that follow them in the same pass, to symbols of a few dozen words.
 LONGER = (("run", 4), *[("pair", n) for n in (4, 4, 8, 8, 8, 16, 16, 16)], ("run", 32), *[("pair", 32)] * 5)
-#: The rounds that Spark names. Deeper ones would spare fewer windows; results are whole after any number.
+#: The rounds that Spark names. More of them would spare few windows more; results are whole after any number.
 SPARK_ROUNDS = ("run", "pair", "pair", "pair")
 #: Words on either side that a boundary of the last round depends on.
 REACH = sum(limit for _, limit in ROUNDS)
