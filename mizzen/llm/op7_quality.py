@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .text import SPACES, let, shingle_hashes, words
 
 SYMBOLS = "#*$%&|<>"
+#: A character of a word.
+WORD = r"[^\x20\x09-\x0D]"
 #: What notices about a page, not its subject, say, in the languages of the documents.
 BOILERPLATE = (
     "javascript", "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
@@ -63,7 +65,7 @@ def line_fails(line: Column) -> Column:
     symbols = line.rlike("[#*$%&|<>{}]") & (_count(line, SYMBOLS + "{}") * 10 > _solid(line))
     shouting = line.rlike(r"\p{Lu}{3}") & (capitals >= 20) & (capitals * 10 > cased * 7)
     listed = let(F.lower(line), lambda x: reduce(or_, [x.contains(p) for p in BOILERPLATE]))
-    return line.rlike(r"[^\x20\x09-\x0D]") & (navigation | symbols | shouting | (~line.rlike(f"[{STOPS}]") & (n >= 12)) | listed)
+    return line.rlike(WORD) & (navigation | symbols | shouting | (~line.rlike(f"[{STOPS}]") & (n >= 12)) | listed)
 
 
 def repeated_words(tokens: Column, size: int = 3) -> Column:
@@ -102,11 +104,11 @@ def measures(text: Column, max_loss: float = 0.5, min_words: int = 50, max_repea
 
     def judged(tokens: Column) -> Column:
         lines = F.split(whole, "\n")
-        solid = F.filter(lines, lambda x: _solid(x) > 0)
+        solid = F.filter(lines, lambda x: x.rlike(WORD))
         return F.struct(
             F.size(tokens).cast("bigint").alias("n_words"),
             _solid(whole).cast("bigint").alias("word_chars"),
-            _count(whole, SYMBOLS).cast("bigint").alias("n_symbols"),
+            F.when(whole.rlike(f"[{SYMBOLS}]"), _count(whole, SYMBOLS)).otherwise(0).cast("bigint").alias("n_symbols"),
             let(solid, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             repeated_words(tokens).alias("n_repeat_words"),
             F.array_join(F.filter(lines, lambda x: ~line_fails(x)), "\n").alias("cleaned"),
@@ -114,7 +116,7 @@ def measures(text: Column, max_loss: float = 0.5, min_words: int = 50, max_repea
 
     def verdicts(m: Column) -> Column:
         base = (m["n_words"] < min_words) | (m["n_repeat_words"] > m["n_words"] * max_repeat)
-        lost = m["word_chars"] - _solid(m["cleaned"])
+        lost = F.when(m["cleaned"] == whole, 0).otherwise(m["word_chars"] - _solid(m["cleaned"]))
         names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
         return F.struct(*[m[x].alias(x) for x in names], base.alias("base_failed"), (~base & (lost <= m["word_chars"] * max_loss)).alias("kept"), m["cleaned"].alias("cleaned"))
 
