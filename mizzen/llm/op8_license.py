@@ -103,11 +103,6 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits(df, BROADCAST_ROWS) else df
 
 
-def _starts(upper: int, step: int) -> Column:
-    """The windows of one size class, as (upper, place)."""
-    return F.transform(F.sequence(F.lit(0), F.size("own") - 1, F.lit(step)), lambda p: F.struct(F.lit(upper).alias("upper"), p.alias("place")))
-
-
 def _sized(whole: DataFrame, percent: int) -> tuple[DataFrame, dict[int, tuple[int, int, int]]]:
     """Templates with their class ``upper``, and each class's step, window and bands."""
     upper = F.pow(F.lit(2), F.ceil(F.log2(F.size("shingles")))).cast("int")
@@ -128,20 +123,22 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] | DataFrame = T
     sized, classes = _sized(cut(whole.select(F.monotonically_increasing_id().alias("no"), "*")), percent)
     if not classes:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, template string, place int, n_shared bigint, n_shingles bigint")
-    width, bands = (F.create_map(*[F.lit(x) for u, c in classes.items() for x in (u, c[k])]) for k in (1, 2))
+    step, width, bands = (F.create_map(*[F.lit(x) for u, c in classes.items() for x in (u, c[k])]) for k in range(3))
     keys = cut(sized.select("no", "upper", F.posexplode(_minima(F.col("shingles"), F.element_at(bands, F.col("upper")))).alias("band", "least")))
 
     plain = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
     probes = plain.select("doc_id", "version", F.explode(F.array_distinct(_shingles(F.col("text"), size))).alias("shingle"))
-    sketch = cut(keys.select(F.col("least").alias("shingle")).distinct())
-    hits = cut(probes.join(_small(sketch), "shingle").groupBy(F.col("doc_id").alias("h_doc"), F.col("version").alias("h_version")).agg(F.collect_set("shingle").alias("hits")))
+    sketch = cut(keys.select("upper", F.col("least").alias("shingle")).distinct())
+    found_in = [F.col("doc_id").alias("h_doc"), F.col("version").alias("h_version"), "upper"]
+    hits = cut(probes.join(_small(sketch), "shingle").groupBy(*found_in).agg(F.collect_set("shingle").alias("hits")))
     same = F.col("doc_id").eqNullSafe(F.col("h_doc")) & (F.col("version") == F.col("h_version"))
-    met = plain.join(_small(hits), same).select("doc_id", "version", "hits", _shingles(F.col("text"), size).alias("own"))
+    met = plain.join(_small(hits), same).select("doc_id", "version", "upper", "hits", _shingles(F.col("text"), size).alias("own"))
 
-    # All classes in one pass over the text: (class, first shingle) of each window, then its shingles.
-    starts = F.concat(*[_starts(u, c[0]) for u, c in classes.items()])
-    windows = met.select("doc_id", "version", "own", "hits", F.explode(starts).alias("w")).select("doc_id", "version", "own", "hits", "w.upper", "w.place")
-    windows = windows.withColumn("part", F.slice("own", F.col("place") + 1, F.element_at(width, F.col("upper")))).where(F.arrays_overlap("part", "hits"))
+    # The windows of a class in which something of its templates was found. Coalesced, or the optimizer would have
+    # ``own`` tested for NULL, and so made, for every text before the join.
+    places = F.sequence(F.lit(0), F.greatest(F.size("own") - 1, F.lit(0)), F.element_at(step, F.col("upper")))
+    windows = met.select("doc_id", "version", "upper", "own", "hits", F.explode(places).alias("place"))
+    windows = windows.withColumn("part", F.slice("own", F.col("place") + 1, F.element_at(width, F.col("upper")))).where(F.coalesce(F.arrays_overlap("part", "hits"), F.lit(False)))
     banded = windows.select("doc_id", "version", "upper", "place", "part", F.posexplode(_minima(F.col("part"), F.element_at(bands, F.col("upper")))).alias("band", "least"))
     met_once = banded.join(_small(keys), ["upper", "band", "least"]).groupBy("doc_id", "version", "upper", "place", "no").agg(F.first("part").alias("part"))
     hit = met_once.join(_small(sized.select("no", "template", "shingles")), "no").withColumn("n_shared", F.size(F.array_intersect("part", "shingles")))
