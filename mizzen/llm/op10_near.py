@@ -167,10 +167,11 @@ def _components(docs: DataFrame, size: int, percent: int, rows: int) -> DataFram
     ``part`` numbers the components, so that two of them stay apart where one id has several texts.
     """
     sigs = cut(signatures(docs, size, bands_for(percent, rows), rows))
-    grouped = sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("of"))
+    grouped = sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"))
     same = (F.col("c.key") == F.col("s.key")) & (F.col("c.id") == F.col("s.doc_id"))
     # One row of each class. Its least id stands for it, or a number where an id has several classes.
-    classes = cut(sigs.alias("s").join(grouped.alias("c"), same).select("c.key", "id", "of", "sig", "bands").dropDuplicates(["key"]))
+    rows_of = sigs.alias("s").join(grouped.alias("c"), same).select("c.key", "id", "sig", "bands")
+    classes = cut(rows_of.groupBy("key").agg(*[F.first(c).alias(c) for c in ("id", "sig", "bands")], F.count(F.lit(1)).alias("of")))
     alone = classes.groupBy("id").count().where("count > 1").isEmpty()
     classes = classes.withColumn("node", F.col("id")) if alone else cut(classes.orderBy("id").withColumn("node", F.monotonically_increasing_id()))
 
@@ -180,7 +181,7 @@ def _components(docs: DataFrame, size: int, percent: int, rows: int) -> DataFram
     stars = met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     asked = cut(classes.select("node", "id", "key", "of").join(met.select("node").distinct(), "node", "left_semi"))
     sets = _sets(docs, asked.drop("of"), size)
-    # A row given several times gives its set several times.
+    # Rows of one id and set give the set several times.
     sets = cut(sets if asked.where("of > 1").isEmpty() else sets.dropDuplicates(["node"]))
     measured = cut(_measured(stars, classes, sets, percent))
     linked = F.col("common") * 100 >= F.col("total") * percent
