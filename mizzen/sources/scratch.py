@@ -7,6 +7,9 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes that a writer holds before it writes them out.
+ROW_GROUP = 16 << 20
+
 
 def _folder(spark: SparkSession) -> str:
     """The session's checkpoint folder."""
@@ -27,7 +30,8 @@ def new_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` written as a table to the checkpoint folder and read from there, and the table's path."""
     path = f"{_folder(df.sparkSession)}/table-{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # Small row groups, so that a task that writes large values buffers little.
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
