@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import cut, fits
 from .components import connected_components
-from .text import mix, portions, word_hashes
+from .text import mix, portions, small_batches, word_hashes
 
 #: Texts of a block in the complete search, and shingles compared at a time there.
 BLOCK, SLICE = 256, 8192
@@ -166,7 +166,8 @@ def _components(docs: DataFrame, size: int, percent: int, rows: int) -> DataFram
 
     ``part`` numbers the components, so that two of them stay apart where one id has several texts.
     """
-    sigs = cut(signatures(docs, size, bands_for(percent, rows), rows))
+    with small_batches(docs.sparkSession):
+        sigs = cut(signatures(docs, size, bands_for(percent, rows), rows))
     grouped = sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("id"))
     same = (F.col("c.key") == F.col("s.key")) & (F.col("c.id") == F.col("s.doc_id"))
     # One row of each class. Its least id stands for it, or a number where an id has several classes.
@@ -182,7 +183,8 @@ def _components(docs: DataFrame, size: int, percent: int, rows: int) -> DataFram
     asked = cut(classes.select("node", "id", "key", "of").join(met.select("node").distinct(), "node", "left_semi"))
     sets = _sets(docs, asked.drop("of"), size)
     # Rows of one id and set give the set several times.
-    sets = cut(sets if asked.where("of > 1").isEmpty() else sets.dropDuplicates(["node"]))
+    with small_batches(docs.sparkSession):
+        sets = cut(sets if asked.where("of > 1").isEmpty() else sets.dropDuplicates(["node"]))
     measured = cut(_measured(stars, classes, sets, percent))
     linked = F.col("common") * 100 >= F.col("total") * percent
     parts = connected_components(measured.where(linked).select("a", "b"))

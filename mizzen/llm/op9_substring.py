@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut, fits, removed, stored
-from .text import mix, portions, word_hashes
+from .text import mix, portions, small_batches, word_hashes
 
 #: (kind, longest symbol in words that takes part) of each round.
 ROUNDS = (("run", 1), ("pair", 1), ("pair", 1), ("run", 2), ("pair", 2))
@@ -291,7 +291,8 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     if window < 2 * REACH + 2:
         raise ValueError(f"a window needs {2 * REACH + 2} words")
     plain = docs.select(F.col("doc_id").cast("bigint"), "text")
-    base = cut(_scan(plain, window))
+    with small_batches(docs.sparkSession):
+        base = cut(_scan(plain, window))
     # Texts that several documents have, so that the join below doesn't shuffle the others; cut, so that Spark can split it.
     several = base.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("of")).where("of > 1").drop("of")
     classes = cut(several)
@@ -309,7 +310,8 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     ids = hits.select("doc_id").distinct()
     texts = plain.join(F.broadcast(ids) if fits(ids, BROADCAST_IDS) else ids, "doc_id", "left_semi").join(hits, "doc_id")
 
-    wins = cut(_windows(texts, window))
+    with small_batches(docs.sparkSession):
+        wins = cut(_windows(texts, window))
     # Cut, so that the join below has a shuffle of its own, whose large partitions Spark can split.
     lows = cut(_shared(wins, ["x", "y"]))
     places = wins.join(lows, ["x", "y"]).where("doc_id > low").groupBy("doc_id", "version").agg(F.collect_set("place").alias("places"))

@@ -8,11 +8,12 @@ DataFrame side agree on every text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\u000b\f\r"
@@ -60,6 +61,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While it lasts, jobs hand at most ``rows`` rows at a time to a Python worker; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def portions(batches: Iterator[pd.DataFrame], chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
     """Arrow batches cut so that the texts of each portion have about ``chars`` characters, or are one text.
 
