@@ -74,7 +74,7 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def portions(batches: Iterator[pd.DataFrame], chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+def portions(batches: Iterator[pd.DataFrame], chars: int = 2_000_000) -> Iterator[pd.DataFrame]:
     """Arrow batches cut so that the texts of each portion have about ``chars`` characters, or are one text.
 
     Bounds what a Python worker builds from a batch at a time; Spark bounds the batch itself in bytes.
